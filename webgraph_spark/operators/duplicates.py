@@ -254,6 +254,10 @@ def near_duplicates(
     rare = rare.drop("known")
     suspects = cut_lineage(_has_earlier(fresh, rare, threshold), "suspects")
 
+    nothing = ranked.sparkSession.createDataFrame([], "id bigint, matched_id bigint, similarity double")
+    if suspects.isEmpty():
+        return nothing
+
     open_pages = suspects
     kept_tokens = rare.join(suspects, "id", "left_anti")
     suspect_tokens = rare.join(suspects, "id")
@@ -270,8 +274,9 @@ def near_duplicates(
             matches.append(cut_lineage(found, "matches"))
         if open_pages.isEmpty():
             break
-        matched = open_pages.join(_best(_union(matches), rule), "id")
-        if rule == "overlap":
+        candidates = _best(_union(matches), rule) if matches else nothing.select("id", F.lit(0).alias("common"))
+        matched = open_pages.join(candidates, "id")
+        if rule == "overlap" and matches:
             # A rival of an earlier round stays one; only new matches are looked at.
             unseen = matched if checked is None else matched.join(checked, "id", "left_anti")
             now_checked = cut_lineage(unseen.select("id", "common"), "checked")
@@ -287,7 +292,9 @@ def near_duplicates(
         still = _union(duplicates).select("id").unionByName(open_pages)
         suspect_tokens = rare.join(still, "id")
 
-    near = _union(duplicates).select("id") if duplicates else suspects.where("false")
+    if not matches:
+        return nothing
+    near = _union(duplicates).select("id")
     return near.join(_best(_union(matches), rule), "id").select("id", F.col("other").alias("matched_id"), "similarity")
 
 
