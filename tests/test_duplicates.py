@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.brute import near_marks
 from webgraph_spark.operators import duplicates as D
@@ -17,7 +16,7 @@ def _collections(seed, count):
         base = c * 10_000
         pool = list(range(base, base + rng.choice([12, 20, 40])))
         group, sets = [], []
-        for _ in range(rng.randint(2, 14)):
+        for _ in range(rng.randint(2, 9)):
             kind = rng.random()
             if sets and kind < 0.6:
                 own = set(rng.choice(sets))
@@ -37,10 +36,12 @@ def _collections(seed, count):
     return rows, groups
 
 
-@pytest.mark.parametrize("rule", ["overlap", "max_jaccard"])
-@pytest.mark.parametrize("threshold", [0.95, 0.8, 0.5, 0.3])
-def test_near_duplicates_equal_sequential_rule(spark, threshold, rule):
-    rows, groups = _collections(int(threshold * 100), 250)
+@pytest.mark.parametrize("few", [0, 10**6])
+@pytest.mark.parametrize("threshold,rule", [(0.95, "overlap"), (0.5, "overlap"), (0.3, "max_jaccard")])
+def test_near_duplicates_equal_sequential_rule(spark, monkeypatch, threshold, rule, few):
+    """In rounds only (few = 0) and by the bounded last step only."""
+    monkeypatch.setattr(D, "FEW_OPEN", few)
+    rows, groups = _collections(int(threshold * 100), 250 if few else 60)
     expected = {}
     for group in groups:
         expected.update(near_marks(group, threshold, rule))

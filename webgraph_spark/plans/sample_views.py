@@ -30,13 +30,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when there are fewer files than cores.
+
+    The given tables are one file each, which one task would read and parse
+    alone. A table of many files stays as it is: no shuffle of page bodies.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def _at(seconds: Column) -> Column:
     return F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def crawled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, ord, url, html_content) of every page."""
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages")).select(
         F.col("page_id").alias("id"), F.col("page_id").alias("ord"), "url", F.col("html").alias("html_content")
     )
 
@@ -111,7 +121,7 @@ def delays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as pages without markup."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         F.col("doc_id").alias("id"), F.col("doc_id").alias("ord"), F.col("text").alias("html_content")
     )
 
@@ -119,7 +129,7 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def marked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages whose markup names images, scripts and a sitemap entry made from their own URL."""
     number = F.col("page_id").cast("string")
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages")).select(
         F.col("page_id").alias("id"),
         F.col("page_id").alias("from_page"),
         "url",
