@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from webgraph_spark.operators.ordering import in_ranges, running_total
 from webgraph_spark.schemas import LIMITS
 
+# So few narrow rows one task handles at once.
+FEW_ITEMS = 100_000
+
 
 def stored_bytes(table: DataFrame) -> DataFrame:
     """Bytes stored in ``page_data`` or ``image``; an empty table holds 0."""
@@ -43,6 +48,22 @@ def _phase_end(ranged: DataFrame, order: Sequence[str], after: Column | None, le
     return None if row is None or row["_filled"] is None else row
 
 
+def _in_order(items: DataFrame, order: list[str], left: int) -> DataFrame:
+    """``admitted`` for at most FEW_ITEMS items, one after the other in one task."""
+
+    def admit(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(order)
+        rest, flags = left, []
+        for size in rows["data_size"]:
+            flags.append(size < rest)
+            rest -= size if flags[-1] else 0
+        return rows.assign(admitted=flags)[[*order, "admitted"]]
+
+    schema = T.StructType([*items.select(*order).schema.fields, T.StructField("admitted", T.BooleanType())])
+    narrow = items.select(*order, "data_size").withColumn("_all", F.lit(1))
+    return narrow.groupBy("_all").applyInPandas(admit, schema)
+
+
 def byte_budget(
     items: DataFrame, order: Sequence[str], limit: int = LIMITS.max_stored_bytes, stored: int = 0
 ) -> DataFrame:
@@ -53,6 +74,7 @@ def byte_budget(
     Each phase at least halves what is left of the budget, so there are at most
     log2(limit) passes over (order, data_size), whatever the data; a phase
     leaves one row on the driver and the result is one expression over items.
+    Once a bounded number of items is left, one task goes through them.
     """
     order = list(order)
     ranged = in_ranges(items.select(*order, "data_size"), order)
@@ -61,8 +83,14 @@ def byte_budget(
     admitted = F.lit(False)
     after: Column | None = None
     left = limit - stored
+    last: DataFrame | None = None
     while left > 0:
         begun = F.lit(True) if after is None else position > after
+        waiting = ranged.where(begun & (size < left))
+        # Counts at most one row more than the bound.
+        if waiting.limit(FEW_ITEMS + 1).count() <= FEW_ITEMS:
+            last = _in_order(waiting, order, left)
+            break
         small = begun & (size * 2 < left)
         end = _phase_end(ranged, order, after, left)
         if end is None:
@@ -72,4 +100,9 @@ def byte_budget(
         admitted = admitted | (small & (position < here)) | (position == here)
         after = here
         left -= end["_filled"]
-    return items.withColumn("admitted", F.coalesce(admitted, F.lit(False)))
+    flagged = items.withColumn("admitted", F.coalesce(admitted, F.lit(False)))
+    if last is None:
+        return flagged
+    entered = last.where("admitted").select(*order, F.lit(True).alias("_entered"))
+    joined = flagged.join(entered, order, "left")
+    return joined.withColumn("admitted", F.col("admitted") | F.coalesce("_entered", F.lit(False))).drop("_entered")

@@ -11,6 +11,7 @@ from webgraph_spark.functions import urls
 from webgraph_spark.operators.ordering import number_rows
 from webgraph_spark.operators.skew import spread_join
 from webgraph_spark.schemas import LIMITS
+from webgraph_spark.session import cut_lineage
 
 
 def frontier_ready(pages: DataFrame) -> DataFrame:
@@ -90,6 +91,8 @@ def resolve_candidates(candidates: DataFrame, pages: DataFrame) -> tuple[DataFra
     candidates has from_page, to_url, pos; pages has id, url. An existing page
     wins; otherwise the URL gets a new one.
     """
+    # Read several times below; the markup it comes from should be read once.
+    candidates = cut_lineage(candidates.select("from_page", "to_url", "pos"), "candidates")
     created = new_pages(candidates, pages)
     wanted = candidates.select("from_page", F.col("to_url").alias("url")).distinct()
     ids = pages.select("url", F.col("id").alias("to_page")).unionByName(

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot when it holds at least one in HOT_SHARE of all rows, so there are
-# never more than HOT_SHARE hot keys: the list is safe to broadcast at any scale.
+# never more than HOT_SHARE hot keys: the list is safe to collect and to broadcast
+# at any scale. A key below HOT_ROWS rows fits one task and is never hot.
 HOT_SHARE = 256
+HOT_ROWS = 100_000
 
 
 def key_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -22,10 +24,17 @@ def hot_keys(counts: DataFrame, key: Sequence[str], rows: str = "_rows") -> Data
     total = counts.agg(F.sum(rows).alias("_total")).scalar()
     known = counts.where(" and ".join(f"`{name}` is not null" for name in key))
     share = F.col(rows) * HOT_SHARE
-    hot = known.where(share >= total)
+    hot = known.where((F.col(rows) >= HOT_ROWS) & (share >= total))
     return hot.select(*key, F.ceil(share / total).cast("int").alias("_parts"))
 
 
+def _is_broadcast(lookup: DataFrame) -> bool:
+    """Whether Spark's own size estimate makes it broadcast ``lookup``, so that no key is shuffled."""
+    session = lookup.sparkSession._jsparkSession.sessionState().conf()
+    size = lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= session.autoBroadcastJoinThreshold()
+
+
 def spread_join(
     big: DataFrame,
     lookup: DataFrame,
@@ -39,13 +48,18 @@ def spread_join(
 
     Rows of a hot key are spread by a hash of ``row_id`` over several parts and
     the lookup rows of that key are repeated once per part; all other keys
-    take part in the same join with one part. ``counts`` (key, ``rows``) saves
-    the counting pass where the caller has the numbers already.
+    take part in the same join with one part. Without a hot key, or with a lookup
+    small enough for Spark to broadcast, it is the plain join. Finding hot keys counts ``big`` by key when the plan is made; ``counts``
+    (key, ``rows``) saves that pass where the caller has the numbers already.
     """
     key = list(key)
-    if counts is None:
-        counts = key_counts(big, key)
-    hot = F.broadcast(hot_keys(counts, key, rows))
+    if _is_broadcast(lookup):
+        return big.join(lookup, key, how)
+    found = hot_keys(key_counts(big, key) if counts is None else counts, key, rows)
+    listed = found.collect()
+    if not listed:
+        return big.join(lookup, key, how)
+    hot = F.broadcast(big.sparkSession.createDataFrame(listed, found.schema))
     part = F.pmod(F.xxhash64(*row_id), F.col("_parts"))
     left = big.join(hot, key, "left").withColumn("_part", F.coalesce(part, F.lit(0)).cast("int")).drop("_parts")
     last = F.coalesce(F.col("_parts"), F.lit(1)) - 1

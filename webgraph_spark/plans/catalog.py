@@ -17,7 +17,7 @@ from webgraph_spark.plans import reports
 from webgraph_spark.plans import sample_views as views
 from webgraph_spark.plans.oracle import ctes
 from webgraph_spark.schemas import DATA_TYPES, PAGE_TYPES
-from webgraph_spark.session import new_path
+from webgraph_spark.session import cut_lineage, new_path
 from webgraph_spark.sources import seeds, sinks, tables
 from webgraph_spark.streaming import fetches
 
@@ -41,6 +41,10 @@ def _pages(spark, sf):
     return views.table(spark, sf, "pages")
 
 
+def _urls(spark, sf):
+    return _pages(spark, sf).select(F.col("page_id").alias("id"), "url")
+
+
 # --- sources and sinks ------------------------------------------------------
 
 
@@ -279,7 +283,7 @@ def _graph(spark, sf):
 @query("SELECT p.id, p.domain, s.id AS site_id FROM page_v p LEFT JOIN site_v s ON s.domain = p.domain AND s.id % 2 = 0")
 def pages_with_site(spark, sf):
     known = views.sites(spark, sf).where("id % 2 = 0")
-    return frontier.pages_with_site(views.crawled(spark, sf).select("id", "url"), known).select("id", "domain", "site_id")
+    return frontier.pages_with_site(_urls(spark, sf), known).select("id", "domain", "site_id")
 
 
 @query(
@@ -288,12 +292,12 @@ def pages_with_site(spark, sf):
 )
 def missing_sites(spark, sf):
     known = views.sites(spark, sf).where("id % 2 = 0")
-    return frontier.missing_sites(views.crawled(spark, sf).select("id", "url"), known)
+    return frontier.missing_sites(_urls(spark, sf), known)
 
 
 @query("SELECT id, url FROM created_v")
 def new_pages(spark, sf):
-    created, _ = frontier.resolve_candidates(views.candidates(spark, sf), views.crawled(spark, sf).select("id", "url"))
+    created, _ = frontier.resolve_candidates(views.candidates(spark, sf), _urls(spark, sf))
     return created
 
 
@@ -302,7 +306,7 @@ def new_pages(spark, sf):
     LEFT JOIN pages p ON p.url = c.to_url LEFT JOIN created_v n ON n.url = c.to_url"""
 )
 def resolve_candidates(spark, sf):
-    _, edges = frontier.resolve_candidates(views.candidates(spark, sf), views.crawled(spark, sf).select("id", "url"))
+    _, edges = frontier.resolve_candidates(views.candidates(spark, sf), _urls(spark, sf))
     return edges
 
 
@@ -355,7 +359,8 @@ def best_overlap(spark, sf):
 )
 def robots_decision(spark, sf):
     sites = views.sites(spark, sf)
-    targets = frontier.pages_with_site(views.crawled(spark, sf).select("id", "url"), sites)
+    located = frontier.pages_with_site(_pages(spark, sf).select(F.col("page_id").alias("id"), "url"), sites)
+    targets = cut_lineage(located, "located")
     rules = robots.robots_rules(sites.select(F.col("id").alias("site_id"), "robots_content"))
     return robots.robots_decision(targets.select("id", "site_id", "url"), rules).select("id", "allowed")
 
