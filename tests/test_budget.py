@@ -15,7 +15,7 @@ def test_hand_worked(spark, monkeypatch, few):
 
 
 @pytest.mark.parametrize("seed,few", [(1, 0), (2, 0), (3, 50)])
-def test_equals_sequential_admission(spark, monkeypatch, seed, few):
+def test_equals_sequential_admission(spark, many_ranges, monkeypatch, seed, few):
     monkeypatch.setattr(budget, "FEW_ITEMS", few)
     rng = random.Random(seed)
     sizes = [rng.choice([0, 1, 2, 5, 30, 200, 700]) + rng.randint(0, 3) for _ in range(400)]

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.brute import near_marks
 from webgraph_spark.operators import duplicates as D
@@ -67,3 +68,25 @@ def test_threshold_is_strict(spark):
     sigs = spark.createDataFrame([_sig(1, range(1, 101)), _sig(2, range(1, 96)), _sig(3, [])], SIGS)
     assert D.near_duplicates(sigs).count() == 0
     assert D.near_duplicates(sigs, 0.94).count() == 1
+
+
+@pytest.mark.parametrize("k,threshold,near", [(10, 0.5, 27), (3, 0.5, 61)])
+def test_document_counts(spark, k, threshold, near):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pages = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("ord"), F.col("text").alias("html_content"))
+    marks = D.mark_duplicates(pages, threshold, k, text=F.col("html_content"))
+    counts = {r.status: r["count"] for r in marks.groupBy("status").count().collect()}
+    assert counts == {"exact": 73, "near": near, "kept": 927 - near}
+
+
+def test_one_kept_page_settles_a_large_group_of_copies(spark, monkeypatch):
+    """Every copy differs a little from every other; only the first is met by the rest."""
+    monkeypatch.setattr(D, "FEW_OPEN", 10)
+    monkeypatch.setattr(D, "ROWS_PER_PART", 50)
+    sizes = []
+    meet = D._meet
+    monkeypatch.setattr(D, "_meet", lambda *a: sizes.append(meet(*a)) or sizes[-1])
+    rows = [_sig(i, [*range(1, 201), 1000 + i]) for i in range(400)]
+    found = D.near_duplicates(spark.createDataFrame(rows, SIGS)).collect()
+    assert sorted((r.id, r.matched_id) for r in found) == [(i, 0) for i in range(1, 400)]
+    assert max(s.count() for s in sizes) < 1000

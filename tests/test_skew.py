@@ -19,7 +19,7 @@ def test_spread_join_equals_plain_join(spark, monkeypatch, how):
     assert [(r.key, r._parts) for r in parts if r.key == 7][0][1] > 1
 
 
-def test_number_rows_is_dense_and_ordered(spark):
+def test_number_rows_is_dense_and_ordered(spark, many_ranges):
     rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("key"))
     numbered = ordering.number_rows(rows, ["key"], "place", first=10).collect()
     assert sorted((r.key, r.place) for r in numbered) == [(i, i + 10) for i in range(5000)]

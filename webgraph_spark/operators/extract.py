@@ -51,9 +51,19 @@ def extract_sitemap_urls(sitemaps: DataFrame) -> DataFrame:
     ).where(F.col("to_url").isNotNull())
 
 
+# The order in which the targets of one page are admitted.
+KIND_ORDER = ["sitemap", "a", "script", "img"]
+
+
 def all_candidates(*parts: DataFrame) -> DataFrame:
-    """Bag union: images and script links become pages and edges like any link."""
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """Bag union: images and script links become pages and edges like any link.
+
+    pos becomes the place among all targets of the page, kind by kind.
+    """
+    union = reduce(lambda a, b: a.unionByName(b), parts)
+    kinds = F.array(*[F.lit(kind) for kind in KIND_ORDER])
+    # Positions inside a kind are below 2^32.
+    return union.withColumn("pos", F.array_position(kinds, F.col("kind")) * 2**32 + F.col("pos"))
 
 
 def admissible(candidates: DataFrame, scope: str = LIMITS.scope, max_length: int = LIMITS.max_url_length) -> DataFrame:
