@@ -15,6 +15,8 @@ def test_spread_join_equals_plain_join(spark, monkeypatch, how):
     spread = skew.spread_join(big, lookup, ["key"], how, ["id"])
     plain = big.join(lookup, ["key"], how)
     assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
+    many_null = spark.range(1000).withColumn("key", F.when(F.col("id") > 700, F.col("id")))
+    assert skew.spread_join(many_null, lookup, ["key"], "left", ["id"]).count() == 1000
     parts = skew.hot_keys(skew.key_counts(big, ["key"]), ["key"]).collect()
     assert [(r.key, r._parts) for r in parts if r.key == 7][0][1] > 1
 

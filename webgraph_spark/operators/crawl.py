@@ -40,7 +40,12 @@ def classify_response(fetches: DataFrame) -> DataFrame:
 
 
 def crawl_result(pages: DataFrame, results: DataFrame) -> DataFrame:
-    """The page table with this batch's results (one per page) written in."""
+    """The page table with this batch's results (one per page) written in.
+
+    Only queued pages are fetched, and they hold no markup yet. So only their
+    rows meet the results; stored pages pass by without a shuffle.
+    """
+    kind = F.col("page_type_code")
     renamed = results.select(
         F.col("page_id").alias("id"),
         F.struct(
@@ -61,7 +66,8 @@ def crawl_result(pages: DataFrame, results: DataFrame) -> DataFrame:
             columns.append(F.when(~crawled, F.col(name)).alias(name))
         else:
             columns.append(F.col(name))
-    return pages.join(renamed, "id", "left").select(*columns)
+    fetched = pages.where(kind == "FRONTIER").join(renamed, "id", "left").select(*columns)
+    return pages.where((kind != "FRONTIER") | kind.isNull()).unionByName(fetched)
 
 
 def site_last_crawled(fetches: DataFrame) -> DataFrame:

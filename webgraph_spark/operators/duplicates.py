@@ -96,14 +96,25 @@ def explode_signatures(sigs: DataFrame, *keep: str) -> DataFrame:
 
 
 def shingle_overlap(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(a_id, b_id, common) for every pair of signatures with a common shingle."""
+    """(a_id, b_id, common) for every page of ``a`` and stored page of ``b`` with a common shingle.
+
+    ``b`` is the larger side; a shingle on very many of its pages is spread.
+    """
     left = explode_signatures(a.withColumnRenamed("id", "a_id"), "a_id")
     right = explode_signatures(b.withColumnRenamed("id", "b_id"), "b_id")
-    frequency = left.groupBy("shingle").agg(F.count(F.lit(1)).alias("_rows"))
-    common = spread_join(left, right, ["shingle"], "inner", ["a_id"], counts=frequency)
+    common = spread_join(right, left, ["shingle"], "inner", ["b_id"])
     return common.groupBy("a_id", "b_id").agg(F.count(F.lit(1)).alias("common"))
 
 
+def lateral_overlap_count(a: DataFrame, b: DataFrame, pairs: DataFrame) -> DataFrame:
+    """AGG-4: (a_id, b_id, common) of given pairs, from the two stored sets."""
+    own = a.select(F.col("id").alias("a_id"), F.col("hash").alias("_a"))
+    other = b.select(F.col("id").alias("b_id"), F.col("hash").alias("_b"))
+    both = spread_join(pairs.select("a_id", "b_id"), other, ["b_id"], "inner", ["a_id"])
+    both = spread_join(both, own, ["a_id"], "inner", ["b_id"])
+    return both.select("a_id", "b_id", F.size(F.array_intersect("_a", "_b")).cast("bigint").alias("common"))
+
+
 def best_overlap(pairs: DataFrame) -> DataFrame:
     """WIN-1: per a_id the b_id with most common shingles, ties by shorter b, then smaller id.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +21,10 @@ def key_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def hot_keys(counts: DataFrame, key: Sequence[str], rows: str = "_rows") -> DataFrame:
-    """At most ``HOT_SHARE`` keys with the number of parts their rows are split into."""
+    """At most ``HOT_SHARE`` keys, NULL among them, with the number of parts their rows are split into."""
     total = counts.agg(F.sum(rows).alias("_total")).scalar()
-    known = counts.where(" and ".join(f"`{name}` is not null" for name in key))
     share = F.col(rows) * HOT_SHARE
-    hot = known.where((F.col(rows) >= HOT_ROWS) & (share >= total))
+    hot = counts.where((F.col(rows) >= HOT_ROWS) & (share >= total))
     return hot.select(*key, F.ceil(share / total).cast("int").alias("_parts"))
 
 
@@ -60,8 +60,11 @@ def spread_join(
     if not listed:
         return big.join(lookup, key, how)
     hot = F.broadcast(big.sparkSession.createDataFrame(listed, found.schema))
-    part = F.pmod(F.xxhash64(*row_id), F.col("_parts"))
-    left = big.join(hot, key, "left").withColumn("_part", F.coalesce(part, F.lit(0)).cast("int")).drop("_parts")
+    # NULL keys match nothing, but a left join still sends them all to one task.
+    unknown = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in key])
+    parts = F.when(unknown, F.lit(HOT_SHARE)).otherwise(F.coalesce("_parts", F.lit(1)))
+    part = F.pmod(F.xxhash64(*row_id), parts).cast("int")
+    left = big.join(hot, key, "left").withColumn("_part", part).drop("_parts")
     last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
     right = lookup.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), last))).drop("_parts")
     return left.join(right, [*key, "_part"], how).drop("_part")

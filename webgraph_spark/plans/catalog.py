@@ -153,6 +153,42 @@ def append_page_data(spark, sf):
     return tables.read_table(spark, base, "page_data").select("page_id", "data_type_code", "data_size")
 
 
+@query("SELECT id, domain FROM site_v")
+def append_sites(spark, sf):
+    base = new_path(spark, "tables")
+    sites = views.sites(spark, sf)
+    tables.append_new(sites.where("id % 2 = 0"), spark.createDataFrame([], "domain string"), base, "site", ["id"])
+    tables.append_new(sites, cut_lineage(tables.read_table(spark, base, "site"), "sites"), base, "site", ["id"])
+    return tables.read_table(spark, base, "site").select("id", "domain")
+
+
+@query(
+    """SELECT page_id, content_type, string_split(url, '/')[-1] AS filename, 7::BIGINT AS data_size
+    FROM fetch_v JOIN pages USING (page_id) WHERE contains(content_type, 'image')"""
+)
+def append_images(spark, sf):
+    base = new_path(spark, "tables")
+    images = views.fetch_log(spark, sf).where(F.col("content_type").contains("image")).join(_pages(spark, sf).select("page_id", "url"), "page_id")
+    tables.append(images.withColumn("filename", urls.image_filename(F.col("url"))).withColumn("data_size", F.lit(7)), base, "image")
+    return tables.read_table(spark, base, "image").select("page_id", "content_type", "filename", "data_size")
+
+
+@query("SELECT id AS page_id, n::INTEGER AS hash_length, n::INTEGER AS stored FROM doc_length_v")
+def append_signatures(spark, sf):
+    base = new_path(spark, "tables")
+    tables.append(_document_sigs(spark, sf).withColumnRenamed("id", "page_id"), base, "content_hash")
+    stored = tables.read_table(spark, base, "content_hash")
+    return stored.select("page_id", "hash_length", F.size("hash").alias("stored"))
+
+
+@query(
+    """SELECT s.id, s.domain, e.last_crawled_at FROM site_v s
+    LEFT JOIN (SELECT user_id, max(ts) AS last_crawled_at FROM events GROUP BY user_id) e ON e.user_id = s.id"""
+)
+def update_sites(spark, sf):
+    return crawl.update_sites(views.sites(spark, sf), views.fetch_log(spark, sf)).select("id", "domain", "last_crawled_at")
+
+
 # --- projections and predicates ---------------------------------------------
 
 
@@ -229,10 +265,10 @@ def data_type_code(spark, sf):
     """SELECT s.id, CASE WHEN t.page_id IS NULL THEN s.page_type_code ELSE t.page_type_code END AS page_type_code,
       CASE WHEN t.page_id IS NULL THEN s.site_id ELSE t.site_id END AS site_id,
       CASE WHEN t.page_id IS NULL THEN s.active_in_crawler END AS active_in_crawler,
-      t.accessed_time FROM state_v s LEFT JOIN typed_v t ON t.page_id = s.id AND t.page_id % 2 = 0"""
+      t.accessed_time FROM state_v s LEFT JOIN typed_v t ON t.page_id = s.id AND s.page_type_code = 'FRONTIER'"""
 )
 def crawl_result(spark, sf):
-    results = crawl.classify_response(views.fetch_log(spark, sf)).where("page_id % 2 = 0")
+    results = crawl.classify_response(views.fetch_log(spark, sf))
     pages = views.page_states(spark, sf).withColumn("accessed_time", F.lit(None).cast("timestamp_ntz"))
     return crawl.crawl_result(pages, results).select("id", "page_type_code", "site_id", "active_in_crawler", "accessed_time")
 
@@ -337,6 +373,16 @@ def _benchmark_sigs(spark, sf):
     return duplicates.text_signatures(items.select(F.col("item_id").alias("id"), F.col("item_id").alias("ord"), "text"))
 
 
+@query(
+    """SELECT a.id AS a_id, b.id AS b_id, count(*)::BIGINT AS common
+    FROM bench_shingle_v a JOIN doc_shingle_v b ON a.shingle = b.shingle GROUP BY 1, 2"""
+)
+def lateral_overlap_count(spark, sf):
+    a = cut_lineage(_benchmark_sigs(spark, sf), "signatures")
+    b = cut_lineage(_document_sigs(spark, sf), "signatures")
+    return duplicates.lateral_overlap_count(a, b, duplicates.shingle_overlap(a, b))
+
+
 @query(
     """SELECT a_id, b_id, common, b_length FROM (
       SELECT a.id AS a_id, b.id AS b_id, count(*)::BIGINT AS common, any_value(n.n)::INTEGER AS b_length,
