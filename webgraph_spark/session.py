@@ -46,8 +46,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing has used yet.
+
+    All paths of one application lie under its id, so they can be dropped
+    together once it has ended.
+    """
+    return f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:
