@@ -91,7 +91,7 @@ def exact_duplicates(pages: DataFrame) -> DataFrame:
 # --- shingle tables ---------------------------------------------------------
 
 
-def explode_signatures(sigs: DataFrame, *keep: str) -> DataFrame:
+def explode_signatures(sigs: DataFrame, *keep: str | Column) -> DataFrame:
     return sigs.select(*keep, F.explode("hash").alias("shingle"))
 
 
@@ -132,16 +132,16 @@ def document_frequency(sigs: DataFrame) -> DataFrame:
     return counted.where("df > 1")
 
 
-def rank_shingles(sigs: DataFrame) -> DataFrame:
-    """(id, ord, n, shared): shared is the page's array of (df, shingle), rarest first.
+def rank_shingles(sigs: DataFrame, *keep: str) -> DataFrame:
+    """(id, ord, n, *keep, shared): shared is the page's array of (df, shingle), rarest first.
 
     Pages without a shared shingle are left out: nothing can match them.
     """
     frequency = cut_lineage(document_frequency(sigs), "frequency")
-    tokens = explode_signatures(sigs, "id", "ord", F.col("hash_length").alias("n"))
+    tokens = explode_signatures(sigs, "id", "ord", F.col("hash_length").alias("n"), *keep)
     shared = spread_join(tokens, frequency, ["shingle"], "inner", ["id"], counts=frequency, rows="df")
     ranked = F.array_sort(F.collect_list(F.struct("df", "shingle")))
-    return shared.groupBy("id", "ord", "n").agg(ranked.alias("shared"))
+    return shared.groupBy("id", "ord", "n", *keep).agg(ranked.alias("shared"))
 
 
 def _rarest(count: Column) -> Column:
@@ -263,8 +263,7 @@ def near_duplicates(
         everything = everything.unionByName(stored.select(*columns).withColumn("known", F.lit(True)))
     everything = cut_lineage(everything.where("hash_length > 0"), "signatures")
 
-    known = everything.select("id", "known")
-    ranked = cut_lineage(rank_shingles(everything).join(known, "id"), "ranked")
+    ranked = cut_lineage(rank_shingles(everything, "known"), "ranked")
     rare = cut_lineage(_tokens(ranked, _prefix(threshold), "id", "ord", "n", "known"), "rare")
     fresh = rare.where("not known").drop("known")
     rare = rare.drop("known")

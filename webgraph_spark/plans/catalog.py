@@ -59,6 +59,7 @@ def site_page_counts(spark, sf):
     hashed = views.crawled(spark, sf).select(
         "id", "ord", urls.origin(F.col("url")).alias("domain"), shingles.content_hash(F.col("html_content")).alias("hash_content")
     )
+    hashed = cut_lineage(hashed, "hashed")
     copies = duplicates.exact_duplicates(hashed).select("id", F.lit(1).alias("copy"))
     joined = hashed.select("id", "domain").join(copies, "id", "left")
     return joined.groupBy("domain").agg(
@@ -761,7 +762,7 @@ def page_signatures(spark, sf):
 )
 def exact_duplicates(spark, sf):
     hashed = views.texts(spark, sf).select("id", "ord", shingles.content_hash(F.col("html_content")).alias("hash_content"))
-    return duplicates.exact_duplicates(hashed)
+    return duplicates.exact_duplicates(cut_lineage(hashed, "hashed"))
 
 
 @query("SELECT id, status, matched_id, similarity FROM marks_v")
