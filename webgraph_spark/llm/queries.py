@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webgraph_spark.llm import mixing, packing, sharding, topk
+from webgraph_spark.llm import licenses, mixing, packing, secrets, sharding, topk
 from webgraph_spark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+@query()
+def op1_license_scans(spark, sf_dir):
+    return licenses.digest(licenses.scan(documents(spark, sf_dir)))
+
+
 @query()
 def op2_best_fit_packing(spark, sf_dir):
     packed = packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
@@ -57,6 +62,11 @@ def op3_exact_topk(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+@query()
+def op4_secret_scans(spark, sf_dir):
+    return secrets.digest(secrets.scan(documents(spark, sf_dir)))
+
+
 @query()
 def op7_sharding(spark, sf_dir):
     sharded = sharding.shard(documents(spark, sf_dir), 24)
