@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webgraph_spark.llm import licenses, mixing, packing, secrets, sharding, topk
+from webgraph_spark.llm import licenses, mixing, near_dup, packing, quality_rules, secret_scan, sharding, topk
 from webgraph_spark.llm.common import table
+from webgraph_spark.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,7 +65,15 @@ def op3_exact_topk(spark, sf_dir):
 
 @query()
 def op4_secret_scans(spark, sf_dir):
-    return secrets.digest(secrets.scan(documents(spark, sf_dir)))
+    return secret_scan.digest(secret_scan.scan(documents(spark, sf_dir)))
+
+
+@query()
+def op6_quality_rules(spark, sf_dir):
+    measured = quality_rules.measure(documents(spark, sf_dir)).drop("text")
+    judged = quality_rules.judge(cut_lineage(measured, "quality"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "kept", "distance")
 
 
 @query()
@@ -73,6 +82,11 @@ def op7_sharding(spark, sf_dir):
     return sharded.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+@query()
+def op9_minhash_near_dedup(spark, sf_dir):
+    return near_dup.near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query()
 def op10_mixing(spark, sf_dir):
     mixed = mixing.mix(documents(spark, sf_dir))
