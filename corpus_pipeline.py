@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import webgraph_spark
-from webgraph_spark.llm import mixing, packing
+from webgraph_spark.llm import mixing, near_dup, packing, quality_rules, secret_scan
 from webgraph_spark.llm.queries import documents, tokenizer_path
 from webgraph_spark.session import cut_lineage
 
@@ -19,17 +19,38 @@ from webgraph_spark.session import cut_lineage
 cloudpickle.register_pickle_by_value(webgraph_spark)
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that neither the limits nor the robust estimates reject."""
+    return quality_rules.filter_documents(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return near_dup.deduplicate(docs)
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets in their texts replaced by a mark."""
+    return secret_scan.redact(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows as often as the mix takes them."""
+    """Documents as often as the mix takes them."""
     return mixing.take(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token pieces of all rows, each with its place in a sequence."""
+    """The token pieces of all documents, each with its place in a sequence."""
     return packing.pack_documents(docs, tokenizer_path())
 
 
-STAGES = [("mixing", mix_sources), ("packing", pack)]
+STAGES = [
+    ("quality_rules", keep_good),
+    ("near_dedup", drop_near_copies),
+    ("secret_scans", hide_secrets),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
 
 # Robust estimates and tokens cannot be written in SQL; the stages are tested by brute force.
 ORACLE_SQL = None

@@ -49,11 +49,16 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, list[list[
         yield first, words
 
 
-def word_hashes(texts: Sequence[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hash of every word of all texts in order, where each text begins and the last ends)."""
+def numbered_words(texts: Sequence[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(64-bit hash of every distinct word, its number for every word of all texts in order, where each text
+    begins and the last ends)."""
     ends = np.cumsum([0, *map(len, texts)])
     flat = pa.array([word for words in texts for word in words], pa.binary()).dictionary_encode()
     known = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in flat.dictionary.to_pylist()), np.uint64, len(flat.dictionary))
-    if not len(known):
-        return np.zeros(0, np.uint64), ends
-    return known[flat.indices.to_numpy()], ends
+    return known, flat.indices.to_numpy(), ends
+
+
+def word_hashes(texts: Sequence[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of every word of all texts in order, where each text begins and the last ends)."""
+    known, numbers, ends = numbered_words(texts)
+    return known[numbers], ends

@@ -136,6 +136,7 @@ def mix(docs: DataFrame, seed: str = "mix", weights: Sequence[int] = WEIGHTS, sh
 
 def take(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as it is taken, same columns."""
-    mixed = mix(docs.withColumn("_row", F.struct(*[docs[c] for c in docs.columns])), **options)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), "doc_id", "text", "source")
+    mixed = mix(rows, **options)
     copies = mixed.where("times > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("_copy"))
     return copies.select("_row.*")

@@ -237,14 +237,18 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
     return cut_lineage(with_both.select("a", "b", "set_a", "set_b").mapInArrow(_similar, "a long, b long"), "neardup-links")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, uid: str | None = None) -> DataFrame:
     """(uid, doc_id, n_shingles, component_id, kept, first) for every row of ``docs`` (doc_id, text, ...).
 
     ``component_id`` is the smallest doc_id reachable over links, NULL ids last; ``kept`` says that it is the row's
     own. Where rows share an id several are kept; ``first`` is true for one row of each component. Rows with a NULL text, or without
     words, have an empty set and are linked with nothing. An empty table gives an empty table.
+
+    ``uid`` names a column that tells rows apart, with values that do not change when ``docs`` is read again; without it
+    rows are numbered here.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    number = F.monotonically_increasing_id() if uid is None else F.col(uid)
+    rows = docs.select(number.alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     prints = cut_lineage(rows.mapInArrow(_prints, PRINT), "neardup-prints")
     full = prints.where("n_shingles > 0")
     # A set has one signature, so any row of the class has the right one.
@@ -297,3 +301,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return marked.select(
         "uid", "doc_id", "n_shingles", "component_id", kept.alias("kept"), (own | F.coalesce("_first", F.lit(False))).alias("first")
     )
+
+
+def deduplicate(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one of each component, the one of the smallest id; same columns."""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.monotonically_increasing_id().alias("_uid"))
+    rows = cut_lineage(rows, "neardup-rows")
+    marked = near_duplicates(rows.select("_uid", "_row.doc_id", "_row.text"), "_uid")
+    dropped = marked.where(~F.col("first")).select(F.col("uid").alias("_uid"))
+    return rows.join(dropped, "_uid", "left_anti").select("_row.*")

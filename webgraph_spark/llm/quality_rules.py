@@ -291,6 +291,7 @@ def judge(measured: DataFrame) -> DataFrame:
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, same columns."""
-    measured = measure(docs.select("*", F.struct(*[docs[c] for c in docs.columns]).alias("_row")))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), "text", "lang", "source")
+    measured = measure(rows)
     needed = ["_row", "lang", "source", "base_failed", *NAMES]
     return judge(cut_lineage(measured.select(*needed), "quality-rows")).where("kept").select("_row.*")

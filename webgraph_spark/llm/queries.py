@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webgraph_spark.llm import licenses, mixing, near_dup, packing, quality_rules, secret_scan, sharding, topk
+from webgraph_spark.llm import classifier, licenses, lm_scoring, mixing, near_dup, packing, quality_rules, secret_scan, sharding, topk
 from webgraph_spark.llm.common import table
 from webgraph_spark.session import cut_lineage
 
@@ -68,6 +68,11 @@ def op4_secret_scans(spark, sf_dir):
     return secret_scan.digest(secret_scan.scan(documents(spark, sf_dir)))
 
 
+@query()
+def op5_quality_classifier(spark, sf_dir):
+    return classifier.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op6_quality_rules(spark, sf_dir):
     measured = quality_rules.measure(documents(spark, sf_dir)).drop("text")
@@ -82,6 +87,11 @@ def op7_sharding(spark, sf_dir):
     return sharded.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+@query()
+def op8_lm_scoring(spark, sf_dir):
+    return lm_scoring.score(documents(spark, sf_dir))
+
+
 @query()
 def op9_minhash_near_dedup(spark, sf_dir):
     return near_dup.near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
