@@ -44,9 +44,9 @@ LEAST_ROWS = 100  # smaller groups are pooled by language, then all together
 SHARE = 0.75  # of a group's rows in the subset
 STEPS = 3
 # For six statistics, the factor that makes the covariance of the nearest three quarters that of all rows of a
-# normal distribution; and the squared distance that rejects. It is far out, since documents are not normal.
+# normal distribution; and the squared distance that rejects, the 0.999 quantile of chi-square.
 CONSISTENCY = 1.36
-CUTOFF = 60.0
+CUTOFF = 22.46
 
 STARTS = 2
 
