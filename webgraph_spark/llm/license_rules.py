@@ -32,7 +32,7 @@ BASE = [("cc-by", "cc by"), ("gpl", "general public license"), ("reserved", "all
 # label | keyword | name as it stands in prose | SPDX identifier in words
 FAMILIES = """
 mit | mit | (?:the )?(?:mit|expat|x11) licen[sc]e | mit
-mit-0 | mit | mit no attribution(?: licen[sc]e)? | mit 0
+mit-0 | attribution | mit no attribution(?: licen[sc]e)? | mit 0
 apache-2.0 | apache | apache (?:software )?licen[sc]e (?:version |v )?v?2(?: 0)? | apache 2 0
 apache-1.1 | apache | apache (?:software )?licen[sc]e (?:version |v )?v?1 1 | apache 1 1
 apache-1.0 | apache | apache (?:software )?licen[sc]e (?:version |v )?v?1 0 | apache 1 0

@@ -9,11 +9,12 @@ suppressed. All of it is built-in expressions on one row; nothing is shuffled.
 
 from __future__ import annotations
 
-import json
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from webgraph_spark.functions.binding import bind
 from webgraph_spark.llm.common import UPPER, whole_text
 from webgraph_spark.llm.license_rules import BASE, FORMS, Rule, rules
 from webgraph_spark.llm.spans import join_sorted, spans
@@ -23,9 +24,6 @@ BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD_CHARS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 FOUND = "struct<start:int,end:int,label:string,form:string,priority:int,confidence:double,rule:int>"
-RULES = (
-    "array<struct<label:string,form:string,priority:int,confidence:double,rule:int,pattern:string,keyword:string>>"
-)
 TOP = max(priority for priority, _ in FORMS.values())
 
 
@@ -44,28 +42,23 @@ def words_in(line: Column) -> Column:
     return ((F.char_length(line) - F.char_length(F.replace(line, F.lit(" "), F.lit("")))) / 2).cast("int")
 
 
+def keyword_of(rule: Rule) -> str:
+    """What every match of a rule begins a word with: ``licen`` where the pattern cannot do without it."""
+    outside = rule.pattern
+    while outside != (outside := re.sub(r"\([^()]*\)", "", outside)):
+        pass
+    return "licen" if "licen" in outside else rule.keyword
+
+
 def keyword_gate(signatures: list[Rule]) -> str:
     """One pattern that holds in every text in which a rule or a base phrase can match."""
-    first = {rule.keyword for rule in signatures} | {phrase.rpartition(" ")[2] for _, phrase in BASE}
-    edge = r"[a-z0-9[^\x00-\x7F]]"
-    return f"(?i)(?<!{edge})(?:{'|'.join(sorted(first))})(?!{edge})"
-
-
-def _rule_array(signatures: list[Rule]) -> Column:
-    """The rules as one constant array."""
-    rows = [
-        {
-            "label": rule.label,
-            "form": rule.form,
-            "priority": FORMS[rule.form][0],
-            "confidence": FORMS[rule.form][1],
-            "rule": number,
-            "pattern": wrapped(rule.pattern),
-            "keyword": f" {rule.keyword} ",
-        }
-        for number, rule in enumerate(signatures)
-    ]
-    return F.from_json(F.lit(json.dumps(rows)), RULES)
+    first = {keyword_of(rule) for rule in signatures} | {phrase.split(" ")[0] for _, phrase in BASE[:1]} | {"licen", "reserved"}
+    return f"(?i)(?<![a-z0-9[^\\x00-\\x7F]])(?:{'|'.join(sorted(first))})"
+
+
+def _constants(values: list[str]) -> Column:
+    """An array of strings as one constant, split while the query is planned."""
+    return F.split(F.lit("\n".join(values)), "\n")
 
 
 def _phrase(line: Column, label: str, phrase: str) -> Column:
@@ -80,23 +73,34 @@ def _base(line: Column) -> Column:
 
 
 def _detections(line: Column, signatures: list[Rule]) -> Column:
-    active = F.filter(_rule_array(signatures), lambda r: F.contains(line, r["keyword"]) & F.rlike(line, r["pattern"]))
-
-    def found(rule: Column) -> Column:
+    """Everything that rules find whose keyword occurs, as FOUND."""
+    keywords = [keyword_of(rule) for rule in signatures]
+    present = F.filter(_constants(sorted(set(keywords))), lambda k: F.contains(line, F.concat(F.lit(" "), k)))
+    forms = list(FORMS)
+
+    def active(here: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.lit(len(signatures) - 1))
+        gated = F.filter(numbers, lambda i: F.array_contains(here, F.get(_constants(keywords), i)))
+        named = _constants([f" {rule.keyword}" for rule in signatures])
+        gated = F.filter(gated, lambda i: F.contains(line, F.get(named, i)))
+        return F.filter(gated, lambda i: F.rlike(line, F.get(_constants([wrapped(r.pattern) for r in signatures]), i)))
+
+    def found(i: Column) -> Column:
+        form = F.array_position(_constants(forms), F.get(_constants([r.form for r in signatures]), i)).cast("int") - 1
         return F.transform(
-            spans(line, rule["pattern"], words_in),
+            spans(line, F.get(_constants([wrapped(r.pattern) for r in signatures]), i), words_in),
             lambda s: F.struct(
                 s["start"].alias("start"),
                 s["end"].alias("end"),
-                rule["label"].alias("label"),
-                rule["form"].alias("form"),
-                rule["priority"].alias("priority"),
-                rule["confidence"].alias("confidence"),
-                rule["rule"].alias("rule"),
+                F.get(_constants([r.label for r in signatures]), i).alias("label"),
+                F.get(_constants(forms), form).alias("form"),
+                F.get(F.array(*[F.lit(FORMS[f][0]) for f in forms]), form).alias("priority"),
+                F.get(F.array(*[F.lit(FORMS[f][1]) for f in forms]), form).alias("confidence"),
+                i.alias("rule"),
             ),
         )
 
-    return F.flatten(F.transform(active, found))
+    return F.flatten(F.transform(bind(present, active), found))
 
 
 def suppress(detections: Column) -> Column:
