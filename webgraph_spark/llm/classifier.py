@@ -7,7 +7,8 @@ tasks return sums whose size depends on the number of features. Where the second
 goes against its gradient.
 
 The prior is estimated without labels of the other kind: in the histograms of scores of all positives and all unlabelled
-rows, the share of unlabelled over the share of positives above a threshold is smallest where no negative is left.
+rows, the share of unlabelled over the share of positives above a threshold is smallest where no negative is left. The
+threshold is chosen by that ratio plus a bound on its sampling error, so that few rows in the tail do not set it.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ FEATURES = [
 ]
 
 BINS = 2000
-LEAST_SHARE = 0.2  # of the positives above a threshold that may set the prior
+RISK = 0.1  # of the bound on the sampling error of the prior
 RIDGE = 1e-3
 STEPS = 8
 WIDEST = 6.0  # standardised features are clipped here
@@ -212,10 +213,12 @@ def _prior(rows: DataFrame, scale: Scaling, weights: np.ndarray) -> float:
         return np.concatenate([np.bincount(at, minlength=BINS), np.bincount(at[positive], minlength=BINS)]).astype(float)
 
     sums = _totals(rows, part)
-    above_u = np.cumsum(sums[:BINS][::-1]) / sums[:BINS].sum()
-    above_p = np.cumsum(sums[BINS:][::-1]) / sums[BINS:].sum()
-    usable = above_p >= LEAST_SHARE
-    return float(np.clip((above_u[usable] / above_p[usable]).min(), 0.01, 0.99))
+    n, m = sums[:BINS].sum(), sums[BINS:].sum()
+    above_u = np.cumsum(sums[:BINS][::-1]) / n
+    above_p = np.maximum(np.cumsum(sums[BINS:][::-1]) / m, 1 / m)
+    error = np.sqrt(np.log(4 / RISK) / 2) * (n**-0.5 + m**-0.5) / above_p
+    best = np.argmin(above_u / above_p + error)
+    return float(np.clip(above_u[best] / above_p[best], 0.01, 0.99))
 
 
 class Model(NamedTuple):

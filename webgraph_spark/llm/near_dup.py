@@ -5,9 +5,11 @@ values propose candidates; a pair at the threshold is missed with probability (1
 Candidates are compared by their signatures in batches of ``BATCH`` values: after each batch the pair is dropped if the
 posterior probability of a similarity of at least the threshold is below ``MISS``. Survivors are verified on full sets.
 
-A bucket never pairs with itself. First all members meet the bucket's smallest one, which settles groups of copies in
-linear size; then components are formed, and only members of a bucket that lie outside the component of its
-smallest meet members of other components.
+A bucket never pairs with itself. First all members meet the bucket's smallest one, which settles most groups of copies in
+linear size. Then members meet a few leaders of their bucket that lie in other components, and components grow. Only what
+is still apart after that is paired further, in two ways that lose nothing together: through shingles that at most FEW open
+documents hold, and, for pairs without such a shingle in common, inside buckets where the shingles that more documents
+hold are enough. So edited copies of one text that are too far from each other are set aside by counts, not by pairs.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ ROWS = 6
 SKETCH = 128  # signature values that are compared, 16 bits of each
 BATCH = 16
 MISS = 1e-6
+LEADERS = 4  # of a bucket
+FEW = 8  # open documents that hold a shingle through which pairs are formed
 BITS = 2**23  # of the filter in front of the second reading; its size is fixed
 COLUMNS = 1024  # shingles hashed at once, so that the block stays in cache
 
@@ -223,20 +227,105 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return keyed.groupBy("rep").agg(F.first("shingles").alias("shingles"))
 
 
-def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b) of classes whose full sets reach the threshold."""
+def _survivors(reps: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) of classes that the signatures do not rule out."""
     sketch = reps.select("rep", "sketch")
     with_a = pairs.join(sketch.withColumnsRenamed({"rep": "a", "sketch": "sketch_a"}), "a")
     both = with_a.join(sketch.withColumnsRenamed({"rep": "b", "sketch": "sketch_b"}), "b").select("a", "b", "sketch_a", "sketch_b")
-    survivors = cut_lineage(both.mapInArrow(_plausible(least_matches()), "a long, b long"), "neardup-survivors")
-    ids = survivors.select(F.col("a").alias("rep")).union(survivors.select(F.col("b").alias("rep"))).distinct()
-    wanted = cut_lineage(reps.select("rep", "doc_id", "high", "low").join(ids, "rep", "left_semi"), "neardup-wanted")
-    sets = cut_lineage(_sets_of(docs, wanted), "neardup-sets")
+    return cut_lineage(both.mapInArrow(_plausible(least_matches()), "a long, b long"), "neardup-survivors")
+
+
+def _links(survivors: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``survivors`` (a, b) whose full sets reach the threshold."""
     with_a = survivors.join(sets.withColumnsRenamed({"rep": "a", "shingles": "set_a"}), "a")
     with_both = with_a.join(sets.withColumnsRenamed({"rep": "b", "shingles": "set_b"}), "b")
     return cut_lineage(with_both.select("a", "b", "set_a", "set_b").mapInArrow(_similar, "a long, b long"), "neardup-links")
 
 
+def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """``members`` with the component of each class; one without links is its own."""
+    known = found.withColumnRenamed("id", "rep")
+    return members.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+
+def _open(placed: DataFrame) -> DataFrame:
+    """The rows of buckets that still hold several components."""
+    apart = placed.groupBy("band").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b")
+    return placed.join(apart.select("band"), "band", "left_semi")
+
+
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` (id, component) after ``links`` (a, b) of classes: only components are linked anew."""
+    ends = [found.withColumnsRenamed({"id": end, "component": f"c{end}"}) for end in ("a", "b")]
+    between = links.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    between = between.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b")
+    joined = cut_lineage(components(between), "neardup-joined")
+    renamed = joined.select(F.col("id").alias("component"), F.col("component").alias("_new"))
+    old = found.join(renamed, "component", "left")
+    old = old.select("id", F.coalesce("_new", "component").alias("component"))
+    new = joined.join(found.select("id"), "id", "left_anti").select("id", "component")
+    return cut_lineage(old.union(new), "neardup-components")
+
+
+def _single_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rep, data in zip(batch.column("rep"), batch.column("shingles")):
+            shingles = np.frombuffer(data.as_py(), np.int64)
+            columns = [pa.array(np.full(len(shingles), rep.as_py(), np.int64)), pa.array(shingles)]
+            yield pa.RecordBatch.from_arrays(columns, ["rep", "shingle"])
+
+
+def _postings(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(shingle, rep, n, component) of the open classes for shingles that at most FEW of them hold."""
+    classes = rows.select("rep", "n", "component").distinct()
+    single = sets.join(classes.select("rep"), "rep", "left_semi").mapInArrow(_single_shingles, "rep long, shingle long")
+    single = cut_lineage(single, "neardup-shingles")
+    few = single.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") <= FEW)
+    return cut_lineage(single.join(few.drop("_n"), "shingle", "left_semi").join(classes, "rep"), "neardup-postings")
+
+
+def _with_shared(rows: DataFrame, postings: DataFrame) -> DataFrame:
+    """Adds shared: how many shingles of the row's class more than FEW open classes hold."""
+    counts = postings.groupBy("rep").agg(F.count(F.lit(1)).alias("_few"))
+    return rows.join(counts, "rep", "left").withColumn("shared", F.col("n") - F.coalesce("_few", F.lit(0))).drop("_few")
+
+
+def _posting_pairs(postings: DataFrame) -> DataFrame:
+    """Pairs of classes in different components with a shingle of FEW classes in common."""
+    other = postings.select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "component")])
+    met = postings.join(other, "shingle").where(
+        (F.col("rep") < F.col("x_rep")) & (F.col("component") != F.col("x_component")) & fitting(F.col("n"), F.col("x_n"))
+    )
+    return met.select(F.col("rep").alias("a"), F.col("x_rep").alias("b")).distinct()
+
+
+def _possible(other: str) -> Column:
+    """Whether the row and the ``other`` one can be similar without a shingle of FEW classes in common."""
+    most = F.least(F.col("shared"), F.col(f"{other}_shared"))
+    return fitting(F.col("n"), F.col(f"{other}_n")) & (most * 100 >= (F.col("n") + F.col(f"{other}_n") - most) * PERCENT)
+
+
+def _leader_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of every member with LEADERS members of its bucket, where these lie in another component."""
+    names = ["rep", "n", "component"]
+    one = F.struct(*[F.col(c).alias("lead" if c == "rep" else f"lead_{c}") for c in names])
+    chosen = [F.min_by(one, F.xxhash64("rep", F.lit(i))).alias(f"_{i}") for i in range(LEADERS)]
+    leads = rows.groupBy("band").agg(*chosen)
+    leads = leads.select("band", F.explode(F.array_distinct(F.array(*[f"_{i}" for i in range(LEADERS)]))).alias("l")).select("band", "l.*")
+    met = rows.join(leads, "band").where((F.col("component") != F.col("lead_component")) & fitting(F.col("n"), F.col("lead_n")))
+    return met.select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct()
+
+
+def _apart_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of members of one bucket in different components, as far as shared shingles can be enough."""
+    sizes = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("_size"))
+    main = sizes.groupBy("band").agg(F.max_by("component", F.struct("_size", "component")).alias("_main"))
+    apart = rows.join(main, "band").where(F.col("component") != F.col("_main")).drop("_main")
+    other = rows.select("band", *[F.col(c).alias("x" if c == "rep" else f"x_{c}") for c in ("rep", "n", "shared", "component")])
+    met = apart.join(other, "band").where((F.col("component") != F.col("x_component")) & _possible("x"))
+    return met.select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, uid: str | None = None) -> DataFrame:
     """(uid, doc_id, n_shingles, component_id, kept, first) for every row of ``docs`` (doc_id, text, ...).
 
@@ -270,30 +359,34 @@ def near_duplicates(docs: DataFrame, uid: str | None = None) -> DataFrame:
     members = cut_lineage(banded.join(leads, "band"), "neardup-members")
     stars = members.where((F.col("rep") != F.col("lead")) & fitting(F.col("n"), F.col("lead_n")))
     stars = cut_lineage(stars.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "neardup-stars")
-    links = _verified(docs, reps, stars)
+    survivors = _survivors(reps, stars)
+    ids = survivors.select(F.col("a").alias("rep")).union(survivors.select(F.col("b").alias("rep"))).distinct()
+    classes = reps.select("rep", "doc_id", "high", "low")
+    wanted = cut_lineage(classes.join(ids, "rep", "left_semi"), "neardup-wanted")
+    sets = cut_lineage(_sets_of(docs, wanted), "neardup-sets")
+    links = _links(survivors, sets)
     found = cut_lineage(components(links), "neardup-components")
 
-    # Members outside the component of the bucket's smallest, against members of other components.
-    known = found.withColumnRenamed("id", "rep")
-    ours = members.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    theirs = known.withColumnsRenamed({"rep": "lead", "component": "lead_component"})
-    placed = ours.join(theirs, "lead", "left").withColumn("lead_component", F.coalesce("lead_component", "lead"))
-    placed = cut_lineage(placed.where("rep <> lead").select("band", "rep", "n", "component", "lead_component"), "neardup-placed")
-    apart = placed.where(F.col("component") != F.col("lead_component"))
-    other = placed.select("band", F.col("rep").alias("x"), F.col("n").alias("x_n"), F.col("component").alias("x_component"))
-    rest = apart.join(other, "band").where((F.col("component") != F.col("x_component")) & fitting(F.col("n"), F.col("x_n")))
-    rest = rest.select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct()
-    rest = cut_lineage(rest, "neardup-rest")
-    if not rest.isEmpty():
-        links = links.union(_verified(docs, reps, rest))
-        found = components(links)
+    rows = cut_lineage(_open(_placed(members.select("band", "rep", "n"), found)), "neardup-open")
+    more = rows.select("rep").distinct().join(wanted.select("rep"), "rep", "left_anti")
+    more = cut_lineage(classes.join(more, "rep", "left_semi"), "neardup-wanted")
+    if not more.isEmpty():
+        sets = sets.union(cut_lineage(_sets_of(docs, more), "neardup-sets"))
+    if not rows.isEmpty():
+        pairs = cut_lineage(_leader_pairs(rows), "neardup-pairs")
+        found = _merged(found, _links(_survivors(reps, pairs), sets))
+        rows = cut_lineage(_open(_placed(rows.drop("component"), found)), "neardup-open")
+    if not rows.isEmpty():
+        postings = _postings(rows, sets)
+        pairs = _apart_pairs(_with_shared(rows, postings)).union(_posting_pairs(postings)).distinct()
+        found = _merged(found, _links(_survivors(reps, cut_lineage(pairs, "neardup-pairs")), sets))
 
     labelled = reps.select("rep", "doc_id", "high", "low").join(found.withColumnRenamed("id", "rep"), "rep", "left")
     labelled = cut_lineage(labelled.withColumn("component", F.coalesce("component", "rep")), "neardup-labels")
     least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    classes = cut_lineage(labelled.join(least, "component").select("high", "low", "component", "component_id"), "neardup-named")
+    named_classes = cut_lineage(labelled.join(least, "component").select("high", "low", "component", "component_id"), "neardup-named")
     own = F.col("n_shingles") == 0
-    named = prints.select("uid", "doc_id", "n_shingles", "high", "low").join(classes, ["high", "low"], "left")
+    named = prints.select("uid", "doc_id", "n_shingles", "high", "low").join(named_classes, ["high", "low"], "left")
     named = named.withColumn("component_id", F.when(own, F.col("doc_id")).otherwise(F.col("component_id")))
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
     firsts = named.where(kept & ~own).groupBy("component").agg(F.min("uid").alias("uid")).select("uid", F.lit(True).alias("_first"))
