@@ -172,8 +172,8 @@ def test_filter_reads_counts_back():
 
 
 def test_classifier_on_held_out_labels(spark):
-    found = llm.QUERIES["op5_quality_classifier"](spark, "/root/testdata/sf0.01")
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    found = llm.QUERIES["op5_quality_classifier"](spark, "/root/testdata/sf0.1")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     rows = found.where("held_out").join(labels, "doc_id").collect()
     good, bad = [[r["score"] for r in rows if r["quality"] == q] for q in (1, 0)]
     assert sum(g > b for g in good for b in bad) / (len(good) * len(bad)) > 0.97

@@ -51,7 +51,7 @@ FEATURES = [
 
 BINS = 2000
 RISK = 0.1  # of the bound on the sampling error of the prior
-RIDGE = 1e-3
+RIDGE = 0.03
 STEPS = 8
 WIDEST = 6.0  # standardised features are clipped here
 
