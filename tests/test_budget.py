@@ -6,17 +6,14 @@ from tests.brute import admitted
 from webgraph_spark.operators import budget
 
 
-@pytest.mark.parametrize("few", [0, 100_000])
-def test_hand_worked(spark, monkeypatch, few):
-    monkeypatch.setattr(budget, "FEW_ITEMS", few)
+def test_hand_worked(spark):
     items = spark.createDataFrame(list(enumerate([60, 50, 30, 10, 9])), "id bigint, data_size bigint")
     found = budget.byte_budget(items, ["id"], 100).orderBy("id").collect()
     assert [r.admitted for r in found] == [True, False, True, False, True]
 
 
-@pytest.mark.parametrize("seed,few", [(1, 0), (2, 0), (3, 50)])
-def test_equals_sequential_admission(spark, many_ranges, monkeypatch, seed, few):
-    monkeypatch.setattr(budget, "FEW_ITEMS", few)
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_equals_sequential_admission(spark, many_ranges, seed):
     rng = random.Random(seed)
     sizes = [rng.choice([0, 1, 2, 5, 30, 200, 700]) + rng.randint(0, 3) for _ in range(400)]
     limit = rng.choice([100, 997, 5000])

@@ -37,12 +37,9 @@ def _collections(seed, count):
     return rows, groups
 
 
-@pytest.mark.parametrize("few", [0, 10**6])
 @pytest.mark.parametrize("threshold,rule", [(0.95, "overlap"), (0.5, "overlap"), (0.3, "max_jaccard")])
-def test_near_duplicates_equal_sequential_rule(spark, monkeypatch, threshold, rule, few):
-    """In rounds only (few = 0) and by the bounded last step only."""
-    monkeypatch.setattr(D, "FEW_OPEN", few)
-    rows, groups = _collections(int(threshold * 100), 250 if few else 60)
+def test_near_duplicates_equal_sequential_rule(spark, threshold, rule):
+    rows, groups = _collections(int(threshold * 100), 120)
     expected = {}
     for group in groups:
         expected.update(near_marks(group, threshold, rule))
@@ -79,9 +76,14 @@ def test_document_counts(spark, k, threshold, near):
     assert counts == {"exact": 73, "near": near, "kept": 927 - near}
 
 
+def test_unknown_order_comes_first_and_is_marked(spark):
+    rows = [(1, 5, [1, 2, 3], 3), (2, None, [1, 2, 3], 3), (3, 6, [7, 8, 9], 3)]
+    found = D.near_duplicates(spark.createDataFrame(rows, SIGS), 0.5).collect()
+    assert [(r.id, r.matched_id) for r in found] == [(1, 2)]
+
+
 def test_one_kept_page_settles_a_large_group_of_copies(spark, monkeypatch):
     """Every copy differs a little from every other; only the first is met by the rest."""
-    monkeypatch.setattr(D, "FEW_OPEN", 10)
     monkeypatch.setattr(D, "ROWS_PER_PART", 50)
     sizes = []
     meet = D._meet

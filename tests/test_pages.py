@@ -87,3 +87,19 @@ def test_classification(spark):
         ("BINARY", 200, None), ("BINARY", 200, None),
     ]
     assert [(r.html_content, r.hash_content is not None) for r in found[4:6]] == [(None, True), ("h", True)]
+
+
+def test_markup_that_browsers_read_otherwise(spark):
+    html = (
+        'A<!-- <script>var u="http://hidden.example.org/";</script> -->B<script>x="http://seen.example.org/a"</script>C'
+        '<a href="/p?a=1&section=2&region=3&copy=4&amp;b=5&lt;">&#146;&#99999999999;&copy2</a>'
+    )
+    page = spark.createDataFrame([(html,)], "html string")
+    row = page.select(
+        markup.strip_markup(F.col("html")).alias("text"),
+        markup.hrefs(F.col("html")).alias("hrefs"),
+        markup.script_urls(F.col("html")).alias("urls"),
+    ).first()
+    assert row.text == "ABC\u2019\ufffd\u00a92"
+    assert row.hrefs == ["/p?a=1&section=2&region=3&copy=4&b=5<"]
+    assert row.urls == ["http://seen.example.org/a"]

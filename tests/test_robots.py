@@ -50,3 +50,9 @@ def test_usable_files(spark, status, mime, usable):
     fetches = spark.createDataFrame([(status, mime)], "status int, content_type string")
     assert robots.robots_file_usable(fetches).count() == usable
     assert robots.sitemap_file_usable(fetches).count() == int(status == 200)
+
+
+def test_numbers_too_large_are_unknown(spark):
+    sites = spark.createDataFrame([(1, "User-agent: *\nRequest-rate: 99999999999/1\nDisallow: /a")], "site_id long, robots_content string")
+    rate = robots.robots_rules(sites).first().request_rate
+    assert rate.requests is None and rate.seconds == 1

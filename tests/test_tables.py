@@ -146,4 +146,18 @@ def test_crawl_round(spark):
     assert [kinds[i] for i in range(6)] == ["HTML", "DUPLICATE", "DUPLICATE", "ERROR", "HTML", "DISALLOWED"]
     assert sorted(map(tuple, done.created.collect())) == [(6, "http://a.gov.si/n"), (7, "http://a.gov.si/i.png")]
     assert sorted(map(tuple, done.edges.collect())) == [(0, 7), (4, 6), (4, 7)]
-    assert {r.id: r.hash_length for r in done.signatures.collect()} == {0: 391, 4: 0}
+    assert {r.id: r.hash_length for r in done.signatures.collect()} == {0: 391}
+    again = fetches.where("page_id <= 2").withColumns({"page_id": F.col("page_id") + 10, "ord": F.col("ord") + 10})
+    later = crawl_round.crawl_round(again, pages, stored, Limits(), done.hashes, done.signatures)
+    assert {r.page_id: r.page_type_code for r in later.results.collect()} == {10: "DUPLICATE", 11: "DUPLICATE", 12: "DUPLICATE"}
+
+
+def test_row_caps_and_times_of_a_round(spark):
+    rows = [(1, 1, T0, True), (2, 1, T0 + dt.timedelta(seconds=1), False), (3, 1, T0 + dt.timedelta(seconds=4), True)]
+    fetches = spark.createDataFrame(rows, "page_id bigint, site_id bigint, accessed_time timestamp_ntz, robots_ok boolean")
+    delays = spark.createDataFrame([(1, 10)], "site_id bigint, crawl_delay int")
+    sites = spark.createDataFrame([(1, T0 - dt.timedelta(seconds=3))], "id bigint, last_crawled_at timestamp_ntz")
+    found = politeness.politeness_audit(fetches, delays, sites).orderBy("page_id").collect()
+    assert [(r.page_id, r.wait) for r in found] == [(1, 7.0), (3, 6.0)]
+    newer = sites.withColumn("last_crawled_at", F.lit(T0 + dt.timedelta(days=1)).cast("timestamp_ntz"))
+    assert crawl.update_sites(newer, fetches).first().last_crawled_at == T0 + dt.timedelta(days=1)

@@ -76,10 +76,10 @@ def site_last_crawled(fetches: DataFrame) -> DataFrame:
 
 
 def update_sites(sites: DataFrame, fetches: DataFrame) -> DataFrame:
-    """The site table with last_crawled_at moved on for the sites of this batch."""
+    """The site table with last_crawled_at moved on for the sites of this batch, never back."""
     latest = site_last_crawled(fetches).select(F.col("site_id").alias("id"), F.col("last_crawled_at").alias("_latest"))
     joined = sites.join(latest, "id", "left")
-    return joined.withColumn("last_crawled_at", F.coalesce("_latest", "last_crawled_at")).drop("_latest")
+    return joined.withColumn("last_crawled_at", F.greatest("_latest", "last_crawled_at")).drop("_latest")
 
 
 def reset_active(pages: DataFrame) -> DataFrame:

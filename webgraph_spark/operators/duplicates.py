@@ -15,7 +15,6 @@ pairing the members of a group of copies with each other:
    is kept for certain. This is a minimum per shingle, not a list of pairs.
 3. Rounds: the open pages meet only the pages *kept* in the round before. One kept
    page settles its whole group of copies, so pairs grow with pages, not squared.
-   The last few open pages, a bounded number, are decided in order by one task.
 4. A page with a similar kept page may still be won over by a longer page that
    holds even more of its shingles. Any such page holds one of the page's
    ``n - common`` rarest shingles, which for a close copy is next to none.
@@ -27,7 +26,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +37,6 @@ from webgraph_spark.session import cut_lineage
 # Rows of one shingle that one part of a spread join takes.
 ROWS_PER_PART = 100_000
 
-# So few open pages are decided in order by one task: at most half a million pairs.
-FEW_OPEN = 1000
-
 # Guards prefix and length limits against rounding; pairs are verified exactly.
 _SLACK = 1e-9
 
@@ -69,6 +64,13 @@ def first_by_hash(pages: DataFrame) -> DataFrame:
     )
 
 
+def stored_duplicates(pages: DataFrame, stored: DataFrame) -> DataFrame:
+    """(id, matched_id) of pages whose content hash is among ``stored`` (id, ord, hash_content), the first of them."""
+    firsts = first_by_hash(stored).select("hash_content", F.col("first_id").alias("matched_id"))
+    found = spread_join(pages.select("id", "hash_content"), firsts, ["hash_content"], "inner", ["id"])
+    return found.select("id", "matched_id")
+
+
 def exact_duplicates(pages: DataFrame) -> DataFrame:
     """(id, matched_id) of every page but the first with the same content hash.
 
@@ -287,28 +289,19 @@ def near_duplicates(
         if not pairs.isEmpty():
             found = _verify(pairs, ranked).where(F.col("similarity") > threshold)
             matches.append(cut_lineage(found, "matches"))
-        # Counts at most one row more than the bound.
-        still_open = open_pages.limit(FEW_OPEN + 1).count()
-        if still_open == 0:
+        if open_pages.isEmpty():
             break
         gone = _union(duplicates).select("id") if duplicates else None
-        if still_open <= FEW_OPEN:
-            decided = _finish(open_pages, rare.join(open_pages, "id"), matches, gone, ranked, threshold, rule)
-            last = cut_lineage(decided, "finished")
-            if not duplicates:
-                return last.where("status = 'near'").select("id", "matched_id", "similarity")
-            decided = last.select("id", "status")
-        else:
-            candidates = _best(_union(matches), rule) if matches else nothing.select("id", F.lit(0).alias("common"))
-            matched = open_pages.join(candidates, "id")
-            if rule == "overlap" and matches:
-                # A rival of an earlier round stays one; only new matches are looked at.
-                unseen = matched if checked is None else matched.join(checked, "id", "left_anti")
-                now_checked = cut_lineage(unseen.select("id", "common"), "checked")
-                rivals.append(_find_rivals(now_checked, ranked, gone, threshold).select("id", "other", "common"))
-                ids = now_checked.select("id")
-                checked = ids if checked is None else checked.unionByName(ids)
-            decided = cut_lineage(_decide(open_pages, matched, rivals, gone, suspect_tokens, threshold), "decided")
+        candidates = _best(_union(matches), rule) if matches else nothing.select("id", F.lit(0).alias("common"))
+        matched = open_pages.join(candidates, "id")
+        if rule == "overlap" and matches:
+            # A rival of an earlier round stays one; only new matches are looked at.
+            unseen = matched if checked is None else matched.join(checked, "id", "left_anti")
+            now_checked = cut_lineage(unseen.select("id", "common"), "checked")
+            rivals.append(_find_rivals(now_checked, ranked, gone, threshold).select("id", "other", "common"))
+            ids = now_checked.select("id")
+            checked = ids if checked is None else checked.unionByName(ids)
+        decided = cut_lineage(_decide(open_pages, matched, rivals, gone, suspect_tokens, threshold), "decided")
         duplicates.append(decided.where("status = 'near'"))
         kept_tokens = suspect_tokens.join(decided.where("status = 'kept'").select("id"), "id")
         open_pages = cut_lineage(decided.where("status = 'open'").select("id"), "open")
@@ -321,67 +314,6 @@ def near_duplicates(
     return near.join(_best(_union(matches), rule), "id").select("id", F.col("other").alias("matched_id"), "similarity")
 
 
-def _finish(
-    open_pages: DataFrame,
-    tokens: DataFrame,
-    matches: list[DataFrame],
-    gone: DataFrame | None,
-    ranked: DataFrame,
-    threshold: float,
-    rule: str,
-) -> DataFrame:
-    """(id, status, matched_id, similarity) of at most FEW_OPEN open pages.
-
-    Of all kept pages only the best candidate per open page is passed on, so
-    what reaches the one task is bounded by the square of FEW_OPEN.
-    """
-    columns = ["id", "n", "other", "other_n", "common", "similarity"]
-    fits = _lengths_fit(F.col("n"), F.col("other_n"), threshold)
-    among = cut_lineage(_meet(tokens, tokens, fits), "pairs")
-    similar = _verify(among, ranked).where(F.col("similarity") > threshold).select(columns)
-    for part in matches:
-        similar = similar.unionByName(part.join(open_pages, "id").select(columns))
-    similar = cut_lineage(similar, "similar")
-    found = similar
-    if rule == "overlap":
-        lowest = similar.groupBy("id").agg(F.min("common").alias("common"))
-        found = found.unionByName(_find_rivals(lowest, ranked, gone, threshold).select(columns))
-    undecided = open_pages.select(F.col("id").alias("other"), F.lit(True).alias("is_open"))
-    rated = found.join(undecided, "other", "left")
-    best_kept = _best(rated.where("is_open is null"), rule)
-    passed = best_kept.select("id", "other", "other_n", "common", "similarity", F.lit(False).alias("is_open")).unionByName(
-        rated.where("is_open").select("id", "other", "other_n", "common", "similarity", "is_open")
-    )
-    # A page without a candidate stands in one row as its own, which is never kept before it.
-    queue = open_pages.join(ranked.select("id", "ord"), "id").join(passed, "id", "left")
-    queue = queue.withColumn("other", F.coalesce("other", "id")).fillna({"other_n": 0, "common": 0, "similarity": 0.0})
-    queue = queue.withColumn("is_open", F.coalesce("is_open", F.lit(True))).withColumn("_all", F.lit(1))
-
-    def in_order(rows: pd.DataFrame) -> pd.DataFrame:
-        kept, out = set(), []
-        for (_, page), own in rows.groupby(["ord", "id"], sort=True):
-            able = own[~own["is_open"] | own["other"].isin(kept)]
-            first = able["common"] if rule == "overlap" else able["similarity"]
-            able = able.assign(_first=-first).sort_values(["_first", "other_n", "other"])
-            best = able.iloc[0] if len(able) else None
-            if best is not None and best["similarity"] > threshold:
-                out.append((page, "near", int(best["other"]), best["similarity"]))
-            else:
-                kept.add(page)
-                out.append((page, "kept", None, None))
-        pages, statuses, matched, similarities = zip(*out)
-        return pd.DataFrame(
-            {
-                "id": pages,
-                "status": statuses,
-                "matched_id": pd.array(matched, dtype="Int64"),
-                "similarity": pd.array(similarities, dtype="Float64"),
-            }
-        )
-
-    return queue.groupBy("_all").applyInPandas(in_order, "id bigint, status string, matched_id bigint, similarity double")
-
-
 def _find_rivals(matched: DataFrame, ranked: DataFrame, gone: DataFrame | None, threshold: float) -> DataFrame:
     """Pairs (id, other, common): earlier pages with more common shingles but J <= threshold.
 
@@ -451,11 +383,14 @@ def mark_duplicates(
     k: int = LIMITS.shingle_words,
     rule: str = "overlap",
     text: Column | None = None,
+    stored_hashes: DataFrame | None = None,
+    stored_signatures: DataFrame | None = None,
 ) -> DataFrame:
     """(id, status, matched_id, similarity) of pages (id, ord, html_content).
 
     status is exact, near or kept. ``text`` replaces the text of the markup,
-    for tables that hold plain texts.
+    for tables that hold plain texts. ``stored_hashes`` (id, ord, hash_content) holds all
+    pages of earlier batches, ``stored_signatures`` (id, ord, hash, hash_length) the kept ones.
     """
     html = F.col("html_content")
     body = markup.strip_markup(html) if text is None else text
@@ -463,8 +398,12 @@ def mark_duplicates(
     read = pages.select("id", "ord", shingles.content_hash(html).alias("hash_content"), body.alias("text"))
     sigs = read.select("id", "ord", "hash_content", shingles.shingle_set(F.col("text"), k).alias("hash"))
     sigs = cut_lineage(sigs.withColumn("hash_length", F.size("hash")), "pages")
-    exact = cut_lineage(exact_duplicates(sigs), "exact")
-    near = near_duplicates(sigs.join(exact.select("id"), "id", "left_anti"), threshold, rule)
+    exact = exact_duplicates(sigs)
+    if stored_hashes is not None:
+        known = cut_lineage(stored_duplicates(sigs, stored_hashes), "known")
+        exact = known.unionByName(exact.join(known.select("id"), "id", "left_anti"))
+    exact = cut_lineage(exact, "exact")
+    near = near_duplicates(sigs.join(exact.select("id"), "id", "left_anti"), threshold, rule, stored_signatures)
     found = exact.select("id", F.lit("exact").alias("status"), "matched_id", F.lit(1.0).alias("similarity")).unionByName(
         near.select("id", F.lit("near").alias("status"), "matched_id", "similarity")
     )

@@ -56,7 +56,7 @@ def page_count(pages: DataFrame) -> DataFrame:
     return pages.agg(F.count("id").alias("pages"))
 
 
-def row_cap(candidates: DataFrame, pages: DataFrame, cap: int = LIMITS.max_page_rows) -> DataFrame:
+def row_cap(candidates: DataFrame, pages: DataFrame, cap: int) -> DataFrame:
     """The whole batch, or nothing once the page table holds more than ``cap`` rows."""
     return candidates.where(page_count(pages).scalar() <= cap)
 

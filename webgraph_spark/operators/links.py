@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webgraph_spark.operators.skew import spread_join
-from webgraph_spark.schemas import LIMITS
 
 
 def links_of_site(links: DataFrame, pages: DataFrame, sites: DataFrame, domain: str) -> DataFrame:
@@ -17,22 +16,24 @@ def links_of_site(links: DataFrame, pages: DataFrame, sites: DataFrame, domain:
     """
     of_site = sites.where(F.col("domain") == domain).select(F.col("id").alias("site_id"))
     sources = pages.select(F.col("id").alias("from_page"), "site_id", F.col("url").alias("source"))
-    starting = links.join(sources.join(of_site, "site_id"), "from_page").drop("site_id")
+    starting = spread_join(links, sources.join(of_site, "site_id"), ["from_page"], "inner", ["to_page"]).drop("site_id")
     targets = pages.select(F.col("id").alias("to_page"), F.col("url").alias("target"))
     return spread_join(starting, targets, ["to_page"], "inner", ["from_page"]).select(
         "from_page", "to_page", "source", "target"
     )
 
 
-def limit_links(links: DataFrame, n: int = LIMITS.report_links) -> DataFrame:
+def limit_links(links: DataFrame, n: int) -> DataFrame:
     """The first ``n`` links by (from, to); a limit alone would pick any rows."""
     return links.orderBy("from_page", "to_page").limit(n)
 
 
 def links_of_domain(
-    links: DataFrame, pages: DataFrame, sites: DataFrame, domain: str, limit: int = LIMITS.report_links
+    links: DataFrame, pages: DataFrame, sites: DataFrame, domain: str, limit: int | None = None
 ) -> DataFrame:
-    return limit_links(links_of_site(links, pages, sites, domain), limit)
+    """All links of a domain, or the first ``limit`` of them by (from, to)."""
+    found = links_of_site(links, pages, sites, domain)
+    return found if limit is None else limit_links(found, limit)
 
 
 def new_links(edges: DataFrame, links: DataFrame) -> DataFrame:

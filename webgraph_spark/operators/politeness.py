@@ -38,14 +38,22 @@ def previous_fetch(fetches: DataFrame) -> DataFrame:
     )
 
 
-def politeness_audit(fetches: DataFrame, delays: DataFrame) -> DataFrame:
+def politeness_audit(fetches: DataFrame, delays: DataFrame, sites: DataFrame | None = None) -> DataFrame:
     """Per fetch the gap to the site's last fetch, whether it broke the delay, and the waits.
 
+    Rows with ``robots_ok`` false made no request and are left out. ``sites`` (id, last_crawled_at) says when a
+    site was last fetched before the first of its rows here.
     delays has site_id, crawl_delay (seconds, NULL for none). ``wait`` is what
     was left of the delay; ``slept`` is the whole delay, which is what a worker
     that comes too early sleeps.
     """
+    if "robots_ok" in fetches.columns:
+        fetches = fetches.where(F.coalesce("robots_ok", F.lit(True)))
     timed = spread_join(previous_fetch(fetches), delays, ["site_id"], "left", ["page_id"])
+    if sites is not None:
+        before = sites.select(F.col("id").alias("site_id"), F.col("last_crawled_at").alias("_stored"))
+        timed = spread_join(timed, before, ["site_id"], "left", ["page_id"])
+        timed = timed.withColumn("last_crawled_at", F.coalesce("last_crawled_at", "_stored")).drop("_stored")
     gap = _seconds(F.col("accessed_time") - F.col("last_crawled_at"))
     left = F.col("crawl_delay") - F.col("gap")
     early = F.coalesce(left > 0, F.lit(False))

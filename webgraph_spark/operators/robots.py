@@ -61,7 +61,10 @@ def robots_lines(sites: DataFrame) -> DataFrame:
 
 
 def robots_rules(sites: DataFrame) -> DataFrame:
-    """One row per group: agents, ordered rules, crawl delay, request rate."""
+    """One row per group: agents, ordered rules, crawl delay, request rate.
+
+    A delay or a part of a rate too large for an integer is NULL.
+    """
     in_file = Window.partitionBy("site_id").orderBy("line_no")
     kind = F.when(F.col("key") == "", "E").when(F.col("key") == "user-agent", "U").otherwise("R")
     lines = robots_lines(sites).where(F.col("key") != "sitemap").withColumn("kind", kind)
@@ -83,8 +86,8 @@ def robots_rules(sites: DataFrame) -> DataFrame:
     rate = F.when(
         (key == "request-rate") & value.rlike(_RATE),
         F.struct(
-            F.regexp_extract(value, _RATE, 1).cast("int").alias("requests"),
-            F.regexp_extract(value, _RATE, 2).cast("int").alias("seconds"),
+            F.regexp_extract(value, _RATE, 1).try_cast("int").alias("requests"),
+            F.regexp_extract(value, _RATE, 2).try_cast("int").alias("seconds"),
         ),
     )
     agent = F.when(key == "user-agent", F.struct("line_no", value.alias("agent")))

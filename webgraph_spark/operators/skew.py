@@ -8,11 +8,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds at least one in HOT_SHARE of all rows, so there are
+# A key is hot when it holds at least HOT_ROWS rows and one in HOT_SHARE of all rows, so there are
 # never more than HOT_SHARE hot keys: the list is safe to collect and to broadcast
 # at any scale. A key below HOT_ROWS rows fits one task and is never hot.
-HOT_SHARE = 256
+HOT_SHARE = 65_536
 HOT_ROWS = 100_000
+# Parts that rows without a key are spread over.
+NULL_PARTS = 1024
+# A lookup of at most so many rows, counted, goes to every task instead.
+LOOKUP_ROWS = 10_000
 
 
 def key_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -20,19 +24,12 @@ def key_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def hot_keys(counts: DataFrame, key: Sequence[str], rows: str = "_rows") -> DataFrame:
+def hot_keys(counts: DataFrame, key: Sequence[str], rows: str = "_rows", hot_rows: int = HOT_ROWS) -> DataFrame:
     """At most ``HOT_SHARE`` keys, NULL among them, with the number of parts their rows are split into."""
-    total = counts.agg(F.sum(rows).alias("_total")).scalar()
-    share = F.col(rows) * HOT_SHARE
-    hot = counts.where((F.col(rows) >= HOT_ROWS) & (share >= total))
-    return hot.select(*key, F.ceil(share / total).cast("int").alias("_parts"))
-
-
-def _is_broadcast(lookup: DataFrame) -> bool:
-    """Whether Spark's own size estimate makes it broadcast ``lookup``, so that no key is shuffled."""
-    session = lookup.sparkSession._jsparkSession.sessionState().conf()
-    size = lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= session.autoBroadcastJoinThreshold()
+    total = counts.agg(F.coalesce(F.sum(rows), F.lit(0))).first()[0]
+    hot = counts.where((F.col(rows) >= hot_rows) & (F.col(rows) * HOT_SHARE >= total))
+    most = F.greatest(F.lit(hot_rows), F.lit(total) / HOT_SHARE)
+    return hot.select(*key, F.ceil(F.col(rows) * 2 / most).cast("int").alias("_parts"))
 
 
 def spread_join(
@@ -43,26 +40,28 @@ def spread_join(
     row_id: Sequence[str | Column] = (),
     counts: DataFrame | None = None,
     rows: str = "_rows",
+    hot_rows: int = HOT_ROWS,
+    lookup_rows: int = LOOKUP_ROWS,
 ) -> DataFrame:
     """``big.join(lookup, key, how)`` for how in inner, left, left_semi, left_anti.
 
     Rows of a hot key are spread by a hash of ``row_id`` over several parts and
     the lookup rows of that key are repeated once per part; all other keys
-    take part in the same join with one part. Without a hot key, or with a lookup
-    small enough for Spark to broadcast, it is the plain join. Finding hot keys counts ``big`` by key when the plan is made; ``counts``
-    (key, ``rows``) saves that pass where the caller has the numbers already.
+    take part in the same join with one part. Without a hot key it is the plain join; a lookup of at most
+    ``lookup_rows`` rows, counted when the plan is made, is broadcast. Finding hot keys counts ``big`` by
+    key when the plan is made; ``counts`` (key, ``rows``) saves that pass where the caller has the numbers already.
     """
     key = list(key)
-    if _is_broadcast(lookup):
-        return big.join(lookup, key, how)
-    found = hot_keys(key_counts(big, key) if counts is None else counts, key, rows)
+    if lookup.limit(lookup_rows + 1).count() <= lookup_rows:
+        return big.join(F.broadcast(lookup), key, how)
+    found = hot_keys(key_counts(big, key) if counts is None else counts, key, rows, hot_rows)
     listed = found.collect()
     if not listed:
         return big.join(lookup, key, how)
     hot = F.broadcast(big.sparkSession.createDataFrame(listed, found.schema))
     # NULL keys match nothing, but a left join still sends them all to one task.
     unknown = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in key])
-    parts = F.when(unknown, F.lit(HOT_SHARE)).otherwise(F.coalesce("_parts", F.lit(1)))
+    parts = F.when(unknown, F.lit(NULL_PARTS)).otherwise(F.coalesce("_parts", F.lit(1)))
     part = F.pmod(F.xxhash64(*row_id), parts).cast("int")
     left = big.join(hot, key, "left").withColumn("_part", part).drop("_parts")
     last = F.coalesce(F.col("_parts"), F.lit(1)) - 1

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from webgraph_spark.functions import markup, responses, shingles, urls
 from webgraph_spark.operators import budget, crawl, duplicates, extract, frontier, integrity, links, politeness, robots
+from webgraph_spark.operators.skew import spread_join
 from webgraph_spark.plans import reports
 from webgraph_spark.plans import sample_views as views
 from webgraph_spark.plans.oracle import ctes
@@ -304,9 +305,18 @@ REPORT_SITE = "https://m.ththth.example.net/"
 @query(
     f"""SELECT e.from_page, e.to_page, p1.url AS source, p2.url AS target FROM graph_v e
     JOIN state_v p1 ON p1.id = e.from_page JOIN state_v p2 ON p2.id = e.to_page JOIN site_v s ON s.id = p1.site_id
-    WHERE s.domain = '{REPORT_SITE}' ORDER BY 1, 2 LIMIT 1500"""
+    WHERE s.domain = '{REPORT_SITE}' ORDER BY 1, 2 LIMIT 300"""
 )
 def links_of_domain(spark, sf):
+    return links.links_of_domain(_graph(spark, sf), views.page_states(spark, sf), views.sites(spark, sf), REPORT_SITE, 300)
+
+
+@query(
+    f"""SELECT e.from_page, e.to_page, p1.url AS source, p2.url AS target FROM graph_v e
+    JOIN state_v p1 ON p1.id = e.from_page JOIN state_v p2 ON p2.id = e.to_page JOIN site_v s ON s.id = p1.site_id
+    WHERE s.domain = '{REPORT_SITE}'"""
+)
+def all_links_of_domain(spark, sf):
     return links.links_of_domain(_graph(spark, sf), views.page_states(spark, sf), views.sites(spark, sf), REPORT_SITE)
 
 
@@ -473,7 +483,8 @@ def signature_length(spark, sf):
       (CASE WHEN crawl_delay - gap > 0 THEN crawl_delay ELSE 0 END)::INTEGER AS slept
     FROM (SELECT event_id AS page_id, user_id AS site_id,
         (CASE WHEN user_id % 4 > 0 THEN user_id % 4 * 3600 END)::INTEGER AS crawl_delay,
-        (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) / 1e6 AS gap FROM events)"""
+        (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) / 1e6 AS gap FROM events
+      WHERE event_id % 13 <> 0)"""
 )
 def politeness_audit(spark, sf):
     return politeness.politeness_audit(views.fetch_log(spark, sf), views.delays(spark, sf)).drop("accessed_time", "last_crawled_at")
@@ -495,10 +506,10 @@ def byte_budget(spark, sf):
 
 @query(
     """SELECT id, url, TRUE AS active_in_crawler FROM state_v WHERE page_type_code = 'FRONTIER' AND active_in_crawler IS NULL
-    ORDER BY added_at_time ASC NULLS LAST, id LIMIT 20"""
+    ORDER BY added_at_time ASC NULLS LAST, id LIMIT 5"""
 )
 def next_from_frontier(spark, sf):
-    return frontier.next_from_frontier(views.page_states(spark, sf), 20).select("id", "url", "active_in_crawler")
+    return frontier.next_from_frontier(views.page_states(spark, sf), 5).select("id", "url", "active_in_crawler")
 
 
 @query(
@@ -513,7 +524,7 @@ def next_per_site(spark, sf):
 @query("SELECT DISTINCT l_orderkey AS from_page, l_partkey AS to_page FROM lineitem ORDER BY 1, 2 LIMIT 1500")
 def limit_links(spark, sf):
     edges = views.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("from_page"), F.col("l_partkey").alias("to_page"))
-    return links.limit_links(edges.distinct())
+    return links.limit_links(edges.distinct(), 1500)
 
 
 @query(
@@ -525,9 +536,27 @@ def tree_order(spark, sf):
     return reports.tree_order(nodes).select("domain", "size")
 
 
-@query("SELECT from_page, to_url FROM cand_v WHERE (SELECT count(*) FROM pages) <= 250")
+@query("SELECT from_page, to_url, 'fits' AS cap FROM cand_v")
 def row_cap(spark, sf):
-    return frontier.row_cap(views.candidates(spark, sf), views.crawled(spark, sf), 250).select("from_page", "to_url")
+    """The cap that the page table just meets, and the one below it, which refuses the batch."""
+    pages = views.crawled(spark, sf)
+    rows = frontier.page_count(pages).first()[0]
+    batch = views.candidates(spark, sf).select("from_page", "to_url")
+    below = frontier.row_cap(batch, pages, rows - 1).withColumn("cap", F.lit("below"))
+    return frontier.row_cap(batch, pages, rows).withColumn("cap", F.lit("fits")).unionByName(below)
+
+
+@query(
+    """SELECT l.l_orderkey, l.l_linenumber, s.s_name FROM lineitem l
+    LEFT JOIN supplier s ON s.s_suppkey = CASE WHEN l.l_linenumber % 3 = 0 THEN 1 ELSE l.l_suppkey END"""
+)
+def spread_lookup(spark, sf):
+    """A lookup in which a third of the rows have one key, always in the spread form."""
+    key = F.when(F.col("l_linenumber") % 3 == 0, F.lit(1).cast("long")).otherwise(F.col("l_suppkey"))
+    rows = views.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", key.alias("s_suppkey"))
+    names = views.table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    joined = spread_join(rows, names, ["s_suppkey"], "left", ["l_orderkey", "l_linenumber"], hot_rows=2000, lookup_rows=0)
+    return joined.select("l_orderkey", "l_linenumber", "s_name")
 
 
 # --- sets -------------------------------------------------------------------
@@ -775,6 +804,21 @@ def mark_duplicates_loose(spark, sf):
     return duplicates.mark_duplicates(views.texts(spark, sf), 0.5, text=F.col("html_content"))
 
 
+@query("SELECT id, status, matched_id, similarity FROM marks_v@0.5")
+def mark_duplicates_stored(spark, sf):
+    """The documents in two batches, the second compared with what the first has left."""
+    texts = views.texts(spark, sf)
+    middle = texts.agg(F.max("id")).first()[0] // 2
+    content = F.col("html_content")
+    first, second = texts.where(F.col("id") <= middle), texts.where(F.col("id") > middle)
+    marks = cut_lineage(duplicates.mark_duplicates(first, 0.5, text=content), "first-marks")
+    hashes = first.select("id", "ord", shingles.content_hash(content).alias("hash_content"))
+    kept = first.join(marks.where("status = 'kept'").select("id"), "id")
+    signatures = duplicates.text_signatures(kept.select("id", "ord", content.alias("text")))
+    later = duplicates.mark_duplicates(second, 0.5, text=content, stored_hashes=hashes, stored_signatures=signatures)
+    return marks.unionByName(later)
+
+
 @query("SELECT id, status, matched_id, similarity FROM page_marks_v")
 def mark_duplicate_pages(spark, sf):
     return duplicates.mark_duplicates(views.crawled(spark, sf))
@@ -802,10 +846,12 @@ def site_page_tree(spark, sf):
 @query(
     f"""SELECT p1.url AS source, p2.url AS target, 1 AS weight, '' AS type FROM graph_v e
     JOIN state_v p1 ON p1.id = e.from_page JOIN state_v p2 ON p2.id = e.to_page JOIN site_v s ON s.id = p1.site_id
-    WHERE s.domain = '{REPORT_SITE}' ORDER BY e.from_page, e.to_page LIMIT 1500"""
+    WHERE s.domain = '{REPORT_SITE}' ORDER BY e.from_page, e.to_page LIMIT 400"""
 )
 def domain_link_report(spark, sf):
-    return reports.domain_link_report(_graph(spark, sf), views.page_states(spark, sf), views.sites(spark, sf), REPORT_SITE)
+    return reports.domain_link_report(
+        _graph(spark, sf), views.page_states(spark, sf), views.sites(spark, sf), REPORT_SITE, 400
+    )
 
 
 @query(
@@ -817,9 +863,9 @@ def type_counts_by_site(spark, sf):
     return reports.type_counts_by_site(views.sites(spark, sf), views.page_states(spark, sf))
 
 
-@query("SELECT id, url FROM state_v ORDER BY id LIMIT 3500")
+@query("SELECT id, url FROM state_v ORDER BY id LIMIT 100")
 def report_cap(spark, sf):
-    return reports.report_pages(views.page_states(spark, sf)).select("id", "url")
+    return reports.report_pages(views.page_states(spark, sf), 100).select("id", "url")
 
 
 @query("SELECT l_orderkey, l_partkey, count(*)::BIGINT AS rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")

@@ -93,7 +93,7 @@ def domain_link_report(
     pages: DataFrame,
     sites: DataFrame,
     domain: str = LIMITS.report_domain,
-    limit: int = LIMITS.report_links,
+    limit: int | None = None,
 ) -> DataFrame:
     """RPT-2: (source, target, weight, type) of the links that start on a domain."""
     return links_of_domain(links, pages, sites, domain, limit).select(
@@ -101,6 +101,6 @@ def domain_link_report(
     )
 
 
-def report_pages(pages: DataFrame, n: int = LIMITS.report_pages) -> DataFrame:
+def report_pages(pages: DataFrame, n: int) -> DataFrame:
     """RPT-4: the first ``n`` pages by id, as many as the page figure holds."""
     return pages.orderBy("id").limit(n)

@@ -47,7 +47,7 @@ class Limits:
 
     scope: str = ".gov.si"
     max_url_length: int = 2000
-    max_page_rows: int = 100_000
+    max_page_rows: int | None = None
     max_stored_bytes: int = 1024**3
     shingle_words: int = 10
     max_similarity: float = 0.95
