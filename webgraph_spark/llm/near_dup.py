@@ -307,12 +307,12 @@ def _possible(other: str) -> Column:
 
 def _leader_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of every member with LEADERS members of its bucket, where these lie in another component."""
-    names = ["rep", "n", "component"]
+    names = ["rep", "n", "shared", "component"]
     one = F.struct(*[F.col(c).alias("lead" if c == "rep" else f"lead_{c}") for c in names])
     chosen = [F.min_by(one, F.xxhash64("rep", F.lit(i))).alias(f"_{i}") for i in range(LEADERS)]
     leads = rows.groupBy("band").agg(*chosen)
     leads = leads.select("band", F.explode(F.array_distinct(F.array(*[f"_{i}" for i in range(LEADERS)]))).alias("l")).select("band", "l.*")
-    met = rows.join(leads, "band").where((F.col("component") != F.col("lead_component")) & fitting(F.col("n"), F.col("lead_n")))
+    met = rows.join(leads, "band").where((F.col("component") != F.col("lead_component")) & _possible("lead"))
     return met.select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct()
 
 
@@ -358,7 +358,8 @@ def near_duplicates(docs: DataFrame, uid: str | None = None) -> DataFrame:
     )
     members = cut_lineage(banded.join(leads, "band"), "neardup-members")
     stars = members.where((F.col("rep") != F.col("lead")) & fitting(F.col("n"), F.col("lead_n")))
-    stars = cut_lineage(stars.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "neardup-stars")
+    stars = stars.select(F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")).distinct()
+    stars = cut_lineage(stars, "neardup-stars")
     survivors = _survivors(reps, stars)
     ids = survivors.select(F.col("a").alias("rep")).union(survivors.select(F.col("b").alias("rep"))).distinct()
     classes = reps.select("rep", "doc_id", "high", "low")
@@ -372,13 +373,15 @@ def near_duplicates(docs: DataFrame, uid: str | None = None) -> DataFrame:
     more = cut_lineage(classes.join(more, "rep", "left_semi"), "neardup-wanted")
     if not more.isEmpty():
         sets = sets.union(cut_lineage(_sets_of(docs, more), "neardup-sets"))
-    if not rows.isEmpty():
-        pairs = cut_lineage(_leader_pairs(rows), "neardup-pairs")
-        found = _merged(found, _links(_survivors(reps, pairs), sets))
-        rows = cut_lineage(_open(_placed(rows.drop("component"), found)), "neardup-open")
     if not rows.isEmpty():
         postings = _postings(rows, sets)
-        pairs = _apart_pairs(_with_shared(rows, postings)).union(_posting_pairs(postings)).distinct()
+        rows = _with_shared(rows, postings)
+        led = cut_lineage(_leader_pairs(rows).join(stars, ["a", "b"], "left_anti"), "neardup-pairs")
+        found = _merged(found, _links(_survivors(reps, led), sets))
+        rows = cut_lineage(_open(_placed(rows.drop("component"), found)), "neardup-open")
+        postings = _placed(postings.drop("component"), found)
+        pairs = _apart_pairs(rows).union(_posting_pairs(postings)).distinct()
+        pairs = pairs.join(stars.union(led), ["a", "b"], "left_anti")  # none is compared twice
         found = _merged(found, _links(_survivors(reps, cut_lineage(pairs, "neardup-pairs")), sets))
 
     labelled = reps.select("rep", "doc_id", "high", "low").join(found.withColumnRenamed("id", "rep"), "rep", "left")

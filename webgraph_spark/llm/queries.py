@@ -92,12 +92,55 @@ def op8_lm_scoring(spark, sf_dir):
     return lm_scoring.score(documents(spark, sf_dir))
 
 
-@query()
+@query(
+    r"""WITH RECURSIVE d AS (
+      SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+      FROM documents),
+    s AS (
+      SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END) AS g FROM d),
+    n AS (SELECT doc_id, count(*)::BIGINT AS n FROM s GROUP BY doc_id),
+    common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    link AS (
+      SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+    reach AS (SELECT a AS id, b AS r FROM link UNION SELECT reach.id, link.b FROM reach JOIN link ON link.a = reach.r),
+    least_of AS (SELECT id, min(r) AS r FROM reach GROUP BY id)
+    SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(l.r, d.doc_id)) AS component_id,
+      d.doc_id = least(d.doc_id, coalesce(l.r, d.doc_id)) AS kept
+    FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_of l ON l.id = d.doc_id"""
+)
 def op9_minhash_near_dedup(spark, sf_dir):
     return near_dup.near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-@query()
+@query(
+    r"""WITH d AS (
+      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+        substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 9) AS hash FROM documents),
+    sizes AS (SELECT source, sum(size)::BIGINT AS s, row_number() OVER (ORDER BY source NULLS LAST) AS rn FROM d GROUP BY source),
+    weighed AS (SELECT *, [5, 2, 1][(rn - 1) % 3 + 1] AS w, 2.0::DOUBLE * s AS stop, sum(s) OVER () * 1.5::DOUBLE AS budget FROM sizes),
+    levels AS (
+      SELECT *, row_number() OVER o AS place,
+        (budget - coalesce(sum(stop) OVER (ORDER BY stop / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+          / sum(w) OVER (ORDER BY stop / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+      FROM weighed WINDOW o AS (ORDER BY stop / w, source NULLS LAST)),
+    chosen AS (SELECT min_by(level, place) AS level FROM levels WHERE level * w <= stop),
+    targets AS (
+      SELECT source, s, least(stop, coalesce(c.level * w, stop)) AS target FROM levels CROSS JOIN chosen c),
+    parts AS (
+      SELECT *, CASE WHEN s > 0 THEN floor(target / s) ELSE 0 END::BIGINT AS whole FROM targets),
+    sums AS (SELECT source, hash, sum(size)::BIGINT AS words FROM d GROUP BY source, hash),
+    running AS (
+      SELECT *, sum(words) OVER (PARTITION BY source ORDER BY hash) AS upto FROM sums),
+    cuts AS (
+      SELECT r.source, r.hash AS cut, (p.target - p.whole * p.s - (r.upto - r.words)) * 2 >= r.words AS cut_too
+      FROM running r JOIN parts p ON p.source IS NOT DISTINCT FROM r.source
+      WHERE r.upto > p.target - p.whole * p.s AND r.upto - r.words <= p.target - p.whole * p.s AND r.words > 0)
+    SELECT d.doc_id, d.size, p.s AS source_size, p.target,
+      (d.size * (p.whole + CASE WHEN d.hash < c.cut OR (d.hash = c.cut AND c.cut_too) THEN 1 ELSE 0 END))::BIGINT AS taken
+    FROM d JOIN parts p ON p.source IS NOT DISTINCT FROM d.source LEFT JOIN cuts c ON c.source IS NOT DISTINCT FROM d.source"""
+)
 def op10_mixing(spark, sf_dir):
     mixed = mixing.mix(documents(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
