@@ -247,7 +247,8 @@ def _step(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     """New estimates from the rows of each group that are nearest to the old ones."""
     bins = F.floor(F.log2(F.col("_d2") + 1.0) * 64).cast("int")
     distances = _with_distance(rows, estimates).withColumn("_bin", bins).select("_group", "_start", "_bin", *NAMES)
-    near = distances.join(_subset(distances), ["_group", "_start"]).where(F.col("_bin") <= F.col("_bin_limit"))
+    limits = cut_lineage(_subset(distances), "mcd-limits")  # written, so that its size is known: rows need no shuffle
+    near = distances.join(limits, ["_group", "_start"]).where(F.col("_bin") <= F.col("_bin_limit"))
     sums = [F.sum(n).alias(f"s{i}") for i, n in enumerate(NAMES)]
     squares = [
         F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"q{i}_{j}") for i in range(len(NAMES)) for j in range(i + 1)
