@@ -157,6 +157,28 @@ def test_language_model(spark, documents, sample, monkeypatch):
     assert lm_scoring.score(documents([])).count() == 0
 
 
+def test_filter_keeps_its_bits_at_every_size(spark, sample, monkeypatch):
+    scores = lambda: {(r["doc_id"], r["n_tokens"]): r["score"] for r in lm_scoring.score(sample).collect()}
+    want = scores()
+    monkeypatch.setattr(lm_scoring, "FILTER_BYTES", 2000, raising=False)  # nothing may depend on a bound of the whole filter
+    assert scores() == want
+    for r in lm_scoring.fit(sample).segments.select("word_counts", "filter").collect():
+        counts = np.frombuffer(r["word_counts"], np.int64)
+        assert len(r["filter"]) * 8 >= lm_scoring.BITS * lm_scoring._levels(counts).sum()
+
+
+def test_levels_in_small_batches(spark, sample):
+    want = {r["doc_id"]: r["score"] for r in lm_scoring.score(sample).collect()}
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "700")
+    try:
+        found = {r["doc_id"]: r["score"] for r in lm_scoring.score(sample).collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert found.keys() == want.keys() and all(abs(found[i] - want[i]) < 1e-6 for i in want)
+
+
 def test_filter_reads_counts_back():
     rng = np.random.default_rng(4)
     keys = np.unique(rng.integers(0, 2**48, 5000, dtype=np.uint64))

@@ -1,13 +1,14 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
 Counts of words and of word pairs are summed over the whole training text in ``SEGMENTS`` ranges of their hashes.
-A count becomes a level, 1 + floor(log2(count)), and an n-gram is put into a Bloom filter once for every level up to its
-own. The filter is broadcast; a count is read back by probing level after level until one is missing, and the
-pair model is smoothed with the word model of the same filter.
-
-What grows with the corpus stays in tables. The broadcasts are bounded: the filter by ``FILTER_BYTES``, beyond which
-its bits per entry shrink and false positives rise, and exact counts by ``FREQUENT`` words, since no more than that
-many can each hold one in FREQUENT of all tokens. Exact counts of all other words meet the documents in a join.
+A count becomes a level, 1 + floor(log2(count)), and an n-gram is put into the Bloom filter of its segment once for every
+level up to its own, with ``BITS`` bits per entry at every size. A count is read back by probing level after level until
+one is missing, and the pair model is smoothed with the word model of the same filter.
+
+No filter is held whole. The distinct n-grams of each slice of documents are sent to their segments, and the levels read
+there come back to the slice, which then scores its documents. What grows with the corpus stays in tables. The one
+broadcast is bounded: exact counts of ``FREQUENT`` words, since no more than that many can each hold one in FREQUENT of
+all tokens. Exact counts of all other words meet the documents in a join.
 """
 
 from __future__ import annotations
@@ -32,7 +33,6 @@ LOW_BITS = 48
 LOW = np.uint64(2**LOW_BITS - 1)
 
 FREQUENT = 2**20
-FILTER_BYTES = 64_000_000
 BITS = 12  # per entry
 PROBES = 4
 LEVELS = 40
@@ -46,7 +46,7 @@ _GOLDEN = 0x9E3779B97F4A7C15
 _PAIR = hashing.multipliers(2, 31)
 
 COUNTS = "segment int, pair boolean, lows binary, counts binary"
-SEGMENT = "segment int, words binary, word_counts binary, pairs binary, pair_counts binary, tokens long, kinds long, entries long"
+SEGMENT = "segment int, words binary, word_counts binary, filter binary, tokens long, kinds long"
 
 
 def keys_of(hashes: np.ndarray) -> np.ndarray:
@@ -136,8 +136,7 @@ def _levels(counts: np.ndarray) -> np.ndarray:
 
 
 def _entries(words: np.ndarray, pairs: np.ndarray) -> int:
-    # Stored pairs have at least LEAST_PAIR = 2 and so begin at level 2.
-    return int(_levels(words).sum() + (_levels(pairs) - 1).sum())
+    return int(_levels(words).sum() + _levels(pairs).sum())
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,10 +156,10 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keys, counts = keys[counts >= LEAST_PAIR], counts[counts >= LEAST_PAIR]
             row += [keys, counts]
         _, words, word_counts, pairs, pair_counts = row
-        values = [segment, words.tobytes(), word_counts.tobytes(), pairs.tobytes(), pair_counts.tobytes()]
-        values += [int(word_counts.sum()), len(words), _entries(word_counts, pair_counts)]
-        kinds = [pa.int32(), *[pa.binary()] * 4, pa.int64(), pa.int64(), pa.int64()]
-        names = ["segment", "words", "word_counts", "pairs", "pair_counts", "tokens", "kinds", "entries"]
+        own = _filter_bytes(words, word_counts, pairs, pair_counts, BITS, _entries(word_counts, pair_counts))
+        values = [segment, words.tobytes(), word_counts.tobytes(), own.tobytes(), int(word_counts.sum()), len(words)]
+        kinds = [pa.int32(), *[pa.binary()] * 3, pa.int64(), pa.int64()]
+        names = ["segment", "words", "word_counts", "filter", "tokens", "kinds"]
         yield pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(values, kinds)], names)
 
 
@@ -174,28 +173,15 @@ def _filter_bytes(words, word_counts, pairs, pair_counts, bits_each: float, entr
     size = max(8, int(np.ceil(entries * bits_each / 8)))
     marks = np.zeros(size * 8, bool)
     total = np.full(1, size * 8, np.uint64)
-    for keys, counts, first in ((words, word_counts, 1), (pairs, pair_counts, 2)):
+    for keys, counts in ((words, word_counts), (pairs, pair_counts)):
         levels = _levels(counts)
-        for level in range(first, int(levels.max(initial=0)) + 1):
+        for level in range(1, int(levels.max(initial=0)) + 1):
             own = keys[levels >= level]
             for probe in range(PROBES):
                 marks[_places(own, level, total, probe)] = True
     return np.packbits(marks, bitorder="little")
 
 
-def _built(bits_each: float):
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            filters = []
-            for row in batch.to_pylist():
-                keys = [np.frombuffer(row[n], np.uint64) for n in ("words", "pairs")]
-                counts = [np.frombuffer(row[n], np.int64) for n in ("word_counts", "pair_counts")]
-                filters.append(_filter_bytes(keys[0], counts[0], keys[1], counts[1], bits_each, row["entries"]).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("segment"), pa.array(filters, pa.binary())], ["segment", "filter"])
-
-    return build
-
-
 class LogFrequencyFilter(NamedTuple):
     """One Bloom filter per segment, one after the other."""
 
@@ -269,53 +255,93 @@ class Model(NamedTuple):
     tokens: int
     kinds: int
     least_frequent: float
-    filter: LogFrequencyFilter
     words: np.ndarray  # keys of frequent words, in order
     counts: np.ndarray
 
 
 def fit(docs: DataFrame) -> Model:
-    """Counts all tokens and pairs of ``docs`` (text) and builds the filter. Without rows the model is empty."""
+    """Counts all tokens and pairs of ``docs`` (text) and builds the filters. Without rows the model is empty."""
     counted = docs.select("text").mapInArrow(_counted, COUNTS)
     segments = cut_lineage(counted.repartition("segment").mapInArrow(_segments, SEGMENT), "lm-segments")
-    totals = segments.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("tokens", "kinds", "entries")]).first()
-    bits_each = min(BITS, 8 * FILTER_BYTES / max(totals["entries"], 1))
-    # At most FILTER_BYTES and 8 bytes a segment, and at most FREQUENT words.
-    parts = segments.drop("tokens", "kinds").mapInArrow(_built(bits_each), "segment int, filter binary").collect()
+    totals = segments.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("tokens", "kinds")]).first()
+    # At most FREQUENT words.
     least = max(1.0, totals["tokens"] / FREQUENT)
     blobs = segments.select("words", "word_counts").mapInArrow(_word_rows(least), "words binary, counts binary").collect()
     words = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(b["words"], np.uint64) for b in blobs]])
     counts = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(b["counts"], np.int64) for b in blobs]])
     order = np.argsort(words)
-    return Model(segments, totals["tokens"], totals["kinds"], least, _assembled(parts), words[order], counts[order])
-
-
-SCORED = "doc_id long, held_out boolean, uid long, n_tokens long, known long, base double, score double, rare array<long>, times array<int>"
-
-
-def _scored(shared, tokens: int, kinds: int, prior: float):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own_filter, words, counts = shared.value
-        own_filter = LogFrequencyFilter(*own_filter)
+    return Model(segments, totals["tokens"], totals["kinds"], least, words[order], counts[order])
+
+
+# Three kinds of rows: a document (no slice), the tokens of a slice (no segment), and the n-grams a slice asks of a segment.
+PREPARED = pa.schema(
+    [
+        ("doc_id", pa.int64()),
+        ("held_out", pa.bool_()),
+        ("uid", pa.int64()),
+        ("n_tokens", pa.int64()),
+        ("known", pa.int64()),
+        ("base", pa.float64()),
+        ("rare", pa.list_(pa.int64())),
+        ("times", pa.list_(pa.int32())),
+        ("slice", pa.int64()),
+        ("segment", pa.int32()),
+        ("data", pa.binary()),
+    ]
+)
+PREPARED_DDL = (
+    "doc_id long, held_out boolean, uid long, n_tokens long, known long, base double, rare array<long>, times array<int>, "
+    "slice long, segment int, data binary"
+)
+# Columns of a slice that are kept in one binary: what documents it has, their bounds, its words and its tokens.
+_PARTS = 4
+
+
+def _rows(length: int, **columns: pa.Array) -> pa.RecordBatch:
+    """A batch of PREPARED; columns that are not given are NULL."""
+    arrays = [columns[f.name].cast(f.type) if f.name in columns else pa.nulls(length, f.type) for f in PREPARED]
+    return pa.RecordBatch.from_arrays(arrays, schema=PREPARED)
+
+
+def _pack_slice(uids: np.ndarray, ends: np.ndarray, known: np.ndarray, numbers: np.ndarray) -> bytes:
+    narrow = numbers.astype(np.uint16 if len(known) <= 2**16 else np.uint32)
+    sizes = np.array([len(uids), len(ends), len(known), narrow.itemsize], np.int64)
+    parts = [sizes, uids.astype(np.int64), ends.astype(np.int64), known.astype(np.uint64), narrow]
+    return b"".join(p.tobytes() for p in parts)
+
+
+def _unpack_slice(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(uids, ends, known, numbers) as they were packed."""
+    *sizes, width = np.frombuffer(data, np.int64, _PARTS)
+    at, parts = 8 * _PARTS, []
+    for size, kind in zip(sizes, (np.int64, np.int64, np.uint64)):
+        parts.append(np.frombuffer(data, kind, size, at))
+        at += 8 * int(size)
+    numbers = np.frombuffer(data, np.uint16 if width == 2 else np.uint32, -1, at)
+    return *parts, numbers.astype(np.int64)
+
+
+def _grams(known: np.ndarray, numbers: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key of each distinct word, number of the token in front of each, key of each pair)."""
+    before = _before(numbers, ends, _end_number(known))
+    return keys_of(known), before, pair_keys(known[numbers], known[before])
+
+
+def _prepared(shared, tokens: int, kinds: int):
+    """Exact counts of frequent words, and what the model has to be asked for each slice."""
+
+    def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, counts = shared.value
         total = tokens + ADD * (kinds + 1)
         for batch in batches:
             for first, texts in hashing.slices(batch, "text"):
                 known, numbers, ends = _tokens(texts)
-                keys = keys_of(known)
+                keys, _, pairs = _grams(known, numbers, ends)
                 # Exact counts of frequent words; the others are counted in a join.
                 at = np.minimum(np.searchsorted(words, keys), max(len(words) - 1, 0))
                 frequent = words[at] == keys if len(words) else np.zeros(len(keys), bool)
                 exact = np.where(frequent, counts[at] if len(words) else 0, 0)
                 base = np.where(frequent, np.log10((exact + ADD) / total), 0.0)
-                # The model reads all its counts from the filter.
-                alone = read_back(own_filter.levels(keys, 1), 1)
-                share = (alone + ADD) / total
-                before = _before(numbers, ends, _end_number(known))
-                pair = read_back(own_filter.levels(pair_keys(known[numbers], known[before]), 2), 2)
-                context = alone[before]
-                chance = (np.minimum(pair, context) + prior * share[numbers]) / (context + prior)
-                sums = [np.add.reduceat(v, ends[:-1]) for v in (base[numbers], np.log10(chance))]
-                hits = np.add.reduceat(frequent[numbers].astype(np.int64), ends[:-1])
                 rare, times = [], []
                 for a, b in zip(ends[:-1], ends[1:]):
                     mine = numbers[a:b]
@@ -323,23 +349,110 @@ def _scored(shared, tokens: int, kinds: int, prior: float):
                     rare.append(keys[found].astype(np.int64))
                     times.append(n.astype(np.int32))
                 part = batch.slice(first, len(texts))
-                columns = [
-                    part.column("doc_id"),
-                    part.column("held_out"),
-                    part.column("uid"),
-                    pa.array(np.diff(ends)),
-                    pa.array(hits),
-                    pa.array(sums[0]),
-                    pa.array(sums[1]),
-                    pa.array(rare, pa.list_(pa.int64())),
-                    pa.array(times, pa.list_(pa.int32())),
-                ]
-                names = ["doc_id", "held_out", "uid", "n_tokens", "known", "base", "score", "rare", "times"]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                yield _rows(
+                    len(texts),
+                    doc_id=part.column("doc_id"),
+                    held_out=part.column("held_out"),
+                    uid=part.column("uid"),
+                    n_tokens=pa.array(np.diff(ends)),
+                    known=pa.array(np.add.reduceat(frequent[numbers].astype(np.int64), ends[:-1])),
+                    base=pa.array(np.add.reduceat(base[numbers], ends[:-1])),
+                    rare=pa.array(rare, pa.list_(pa.int64())),
+                    times=pa.array(times, pa.list_(pa.int32())),
+                )
+                uids = part.column("uid").to_numpy()
+                name = int(uids[0])
+                yield _rows(1, slice=pa.array([name]), data=pa.array([_pack_slice(uids, ends, known, numbers)]))
+                asked = np.unique(np.concatenate([keys, pairs]))
+                bounds = np.searchsorted(asked >> np.uint64(LOW_BITS), np.arange(SEGMENTS + 1, dtype=np.uint64))
+                hit = np.flatnonzero(np.diff(bounds))
+                yield _rows(
+                    len(hit),
+                    slice=pa.array(np.full(len(hit), name)),
+                    segment=pa.array(hit),
+                    data=pa.array([_pack_low(asked[bounds[s] : bounds[s + 1]]) for s in hit], pa.binary()),
+                )
+
+    return prepare
+
+
+ANSWERS = "slice long, segment int, data binary"
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Levels, a byte each, of the n-grams asked. The filter of a segment (no slice) comes before its questions."""
+    last: list[dict] = []
+    for batch in batches:
+        segments, slices = batch.column("segment").to_pylist(), batch.column("slice").to_pylist()
+        data = batch.column("data").to_pylist()
+        filters = last + [{"segment": s, "filter": d} for s, n, d in zip(segments, slices, data) if n is None]
+        last = filters[-1:]
+        asked = [i for i, n in enumerate(slices) if n is not None]
+        if not asked:
+            continue
+        keys = [_unpack_low(data[i], segments[i]) for i in asked]
+        levels = _assembled(filters).levels(np.concatenate(keys), 1).astype(np.uint8)
+        ends = np.cumsum([0, *map(len, keys)])
+        columns = [
+            pa.array([slices[i] for i in asked], pa.int64()),
+            pa.array([segments[i] for i in asked], pa.int32()),
+            pa.array([levels[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["slice", "segment", "data"])
+
+
+def _slice_scores(data: bytes, answers: bytes, tokens: int, kinds: int, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """(uid, score) of the documents of a slice; ``answers`` are the levels of its distinct n-grams in order of key."""
+    uids, ends, known, numbers = _unpack_slice(data)
+    keys, before, pairs = _grams(known, numbers, ends)
+    asked = np.unique(np.concatenate([keys, pairs]))
+    levels = np.frombuffer(answers, np.uint8).astype(np.int64)
+    if len(levels) != len(asked):
+        raise ValueError(f"{len(levels)} levels for {len(asked)} n-grams")
+    # No count is more than all tokens, whatever its level stands for.
+    counts = np.minimum(read_back(levels, 1), tokens)
+    alone, pair = counts[np.searchsorted(asked, keys)], counts[np.searchsorted(asked, pairs)]
+    share = (alone + ADD) / (tokens + ADD * (kinds + 1))
+    context = alone[before]
+    chance = (np.minimum(pair, context) + prior * share[numbers]) / (context + prior)
+    return uids, np.add.reduceat(np.log10(chance), ends[:-1])
+
+
+def _scored(tokens: int, kinds: int, prior: float):
+    """Scores of the documents of each slice. Its tokens (no segment) come before the answers, in order of segment."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, answers = None, []
+
+        def done() -> pa.RecordBatch:
+            uids, scores = _slice_scores(own, b"".join(answers), tokens, kinds, prior)
+            return pa.RecordBatch.from_arrays([pa.array(uids), pa.array(scores)], ["uid", "score"])
+
+        for batch in batches:
+            for segment, data in zip(batch.column("segment").to_pylist(), batch.column("data").to_pylist()):
+                if segment is not None:
+                    answers.append(data)
+                    continue
+                if own is not None:
+                    yield done()
+                own, answers = data, []
+        if own is not None:
+            yield done()
 
     return score
 
 
+def _model_scores(model: Model, slices: DataFrame, prior: float) -> DataFrame:
+    """(uid, score): the n-grams of ``slices`` go to the filters of their segments and the levels come back."""
+    asked = slices.where(F.col("segment").isNotNull())
+    filters = model.segments.select(F.lit(None).cast("long").alias("slice"), "segment", F.col("filter").alias("data"))
+    met = asked.unionByName(filters).repartition("segment").sortWithinPartitions("segment", F.asc_nulls_first("slice"))
+    answers = met.mapInArrow(_answered, ANSWERS)
+    whole = slices.where(F.col("segment").isNull()).unionByName(answers)
+    ordered = whole.repartition("slice").sortWithinPartitions("slice", F.asc_nulls_first("segment"))
+    return ordered.mapInArrow(_scored(model.tokens, model.kinds, prior), "uid long, score double")
+
+
 def score(docs: DataFrame, held_parts: int = 10, prior: float = PRIOR) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs`` (doc_id, text).
 
@@ -349,9 +462,11 @@ def score(docs: DataFrame, held_parts: int = 10, prior: float = PRIOR) -> DataFr
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (held_part("doc_id", held_parts) == 0).alias("held_out"))
     model = fit(rows.where(~F.col("held_out")))
-    shared = docs.sparkSession.sparkContext.broadcast((tuple(model.filter), model.words, model.counts))
+    shared = docs.sparkSession.sparkContext.broadcast((model.words, model.counts))
     with_uid = rows.withColumn("uid", F.monotonically_increasing_id())
-    scored = cut_lineage(with_uid.mapInArrow(_scored(shared, model.tokens, model.kinds, prior), SCORED), "lm-scored")
+    prepared = cut_lineage(with_uid.mapInArrow(_prepared(shared, model.tokens, model.kinds), PREPARED_DDL), "lm-prepared")
+    scored = prepared.where(F.col("slice").isNull()).drop("slice", "segment", "data")
+    slices = prepared.where(F.col("slice").isNotNull()).select("slice", "segment", "data")
     rare = scored.select("uid", F.explode(F.arrays_zip("rare", "times")).alias("t")).select(
         "uid", F.col("t.rare").alias("word"), F.col("t.times").alias("times")
     )
@@ -362,7 +477,7 @@ def score(docs: DataFrame, held_parts: int = 10, prior: float = PRIOR) -> DataFr
         F.sum(F.col("times") * F.log10((F.col("c") + ADD) / total)).alias("_base"),
         F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("_known"),
     )
-    whole = scored.drop("rare", "times").join(more, "uid", "left")
+    whole = scored.drop("rare", "times").join(_model_scores(model, slices, prior), "uid").join(more, "uid", "left")
     return whole.select(
         "doc_id",
         "held_out",
