@@ -179,6 +179,23 @@ def test_levels_in_small_batches(spark, sample):
     assert found.keys() == want.keys() and all(abs(found[i] - want[i]) < 1e-6 for i in want)
 
 
+def test_pair_model_matches_plain_form(spark, sample):
+    rows = [(r["doc_id"], brute.lower(r["text"] or "").encode().split() + [b" "]) for r in sample.collect()]
+    pairs_of = lambda ws: list(zip([b" ", *ws[:-1]], ws))
+    train = [ws for i, ws in rows if zlib.crc32(str(i).encode()) % 10]
+    words, pairs = Counter(w for ws in train for w in ws), Counter(p for ws in train for p in pairs_of(ws))
+    n = sum(words.values())
+    read = lambda c: min((3 * 2 ** (c.bit_length() - 1) - 1) / 2, n) if c else 0.0
+    found = {r["doc_id"]: r["score"] for r in lm_scoring.score(sample).collect()}
+    for i, ws in rows:
+        want = 0.0
+        for a, b in pairs_of(ws):
+            context, share = read(words[a]), (read(words[b]) + lm_scoring.ADD) / (n + lm_scoring.ADD * (len(words) + 1))
+            want += math.log10((min(read(pairs[a, b]), context) + lm_scoring.PRIOR * share) / (context + lm_scoring.PRIOR))
+        # The filter takes few n-grams for more frequent ones.
+        assert abs(found[i] - want) < 0.06 * len(ws) + 4, (i, found[i], want)
+
+
 def test_filter_reads_counts_back():
     rng = np.random.default_rng(4)
     keys = np.unique(rng.integers(0, 2**48, 5000, dtype=np.uint64))

@@ -36,8 +36,6 @@ FREQUENT = 2**20
 BITS = 12  # per entry
 PROBES = 4
 LEVELS = 40
-# Pairs seen less often are not stored: the model backs off to words for them.
-LEAST_PAIR = 2
 # Words added to each context in proportion to the word model.
 PRIOR = 50.0
 FLUSH = 4_000_000  # n-grams a task holds before it passes their counts on
@@ -152,8 +150,6 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, counts = _summed(
                 [_unpack_low(lows, segment) for lows, _ in given], [np.frombuffer(c, "<u4").astype(np.int64) for _, c in given]
             )
-            if pair:
-                keys, counts = keys[counts >= LEAST_PAIR], counts[counts >= LEAST_PAIR]
             row += [keys, counts]
         _, words, word_counts, pairs, pair_counts = row
         own = _filter_bytes(words, word_counts, pairs, pair_counts, BITS, _entries(word_counts, pair_counts))
