@@ -55,6 +55,51 @@ def test_every_rule_holds_its_keyword():
     assert len(license_rules.rules()) > 300
 
 
+def examples(pattern):
+    """Texts that a pattern matches: each alternative and each end of each repetition at least once."""
+    from re import _parser
+
+    def of(parsed):
+        texts = [""]
+        for kind, value in parsed:
+            name = str(kind)
+            if name == "LITERAL":
+                parts = [chr(value)]
+            elif name == "NOT_LITERAL":
+                parts = ["z"]
+            elif name == "IN":
+                parts = [chr(v if str(k) == "LITERAL" else v[0]) for k, v in value]
+            elif name == "BRANCH":
+                parts = [text for branch in value[1] for text in of(branch)]
+            elif name == "SUBPATTERN":
+                parts = of(value[3])
+            else:
+                assert name in ("MAX_REPEAT", "MIN_REPEAT"), name
+                low, high, inner = value
+                parts = ([""] if low == 0 else []) + [text * max(low, 1) for text in of(inner)]
+            # Every part of this place and every text so far come once at least.
+            n = max(len(texts), len(parts))
+            texts = [texts[i % len(texts)] + parts[i % len(parts)] for i in range(n)] + [t + parts[0] for t in texts]
+            texts = list(dict.fromkeys(texts))
+        return texts
+
+    return of(_parser.parse(pattern))
+
+
+def test_gated_scan_finds_every_alternative(documents, monkeypatch):
+    monkeypatch.setattr(licenses, "suppress", lambda found: found)
+    rules = license_rules.rules()
+    cases = [(i, text) for i, rule in enumerate(rules) if not rule.label.startswith("cc-") for text in examples(rule.pattern)]
+    docs = documents([(n, f"{text}.") for n, (_, text) in enumerate(cases)]).repartition(16)
+    found = {r["doc_id"]: {d["rule"] for d in r["detections"]} for r in licenses.scan(docs).select("doc_id", "detections").collect()}
+    missed = [(rules[i].label, rules[i].form, text) for n, (i, text) in enumerate(cases) if i not in found[n]]
+    assert not missed
+    monkeypatch.undo()
+    texts = {"Released under The Unlicense, see https://unlicense.org": "unlicense", "X11 license": "mit", "released under the Expat license": "mit"}
+    digests = licenses.digest(licenses.scan(documents(list(enumerate(texts))))).collect()
+    assert {r["doc_id"]: r["labels"] for r in digests} == dict(enumerate(texts.values()))
+
+
 def test_secrets_match_plain_form(documents, sample):
     for docs in (documents(AWKWARD), sample):
         for r in secret_scan.digest(secret_scan.scan(docs.withColumn("doc_id", F.col("text")))).collect():

@@ -1,6 +1,6 @@
 """Signature rules of licences, written over lower-case words joined by single spaces.
 
-A rule is (label, form, keyword, pattern). The keyword is a literal that every match holds; it is looked for
+A rule is (label, form, keyword, pattern). The keyword is a literal that begins a word of every match; it is looked for
 first. Forms differ in how sure they are and in what suppresses what: see ``FORMS``.
 """
 
@@ -29,9 +29,11 @@ class Rule(NamedTuple):
 # The phrases of the base labels.
 BASE = [("cc-by", "cc by"), ("gpl", "general public license"), ("reserved", "all rights reserved")]
 
-# label | keyword | name as it stands in prose | SPDX identifier in words
+# label | keyword | name as it stands in prose | SPDX identifier in words, or - for another name of the family before
 FAMILIES = """
-mit | mit | (?:the )?(?:mit|expat|x11) licen[sc]e | mit
+mit | mit | (?:the )?mit licen[sc]e | mit
+mit | expat | (?:the )?expat licen[sc]e | -
+mit | x11 | (?:the )?x11 licen[sc]e | -
 mit-0 | attribution | mit no attribution(?: licen[sc]e)? | mit 0
 apache-2.0 | apache | apache (?:software )?licen[sc]e (?:version |v )?v?2(?: 0)? | apache 2 0
 apache-1.1 | apache | apache (?:software )?licen[sc]e (?:version |v )?v?1 1 | apache 1 1
@@ -210,8 +212,9 @@ def rules() -> list[Rule]:
     """All rules in order; an earlier rule wins where two find the same words with the same priority."""
     found = []
     for label, keyword, name, identifier in _lines(FAMILIES):
+        if identifier != "-":
+            found.append(Rule(label, "spdx", "spdx", f"spdx licen[sc]e identifier {identifier}"))
         found += [
-            Rule(label, "spdx", "spdx", f"spdx licen[sc]e identifier {identifier}"),
             Rule(label, "grant", keyword, GRANT + name),
             Rule(label, "title", keyword, name),
         ]

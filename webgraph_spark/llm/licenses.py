@@ -43,11 +43,11 @@ def words_in(line: Column) -> Column:
 
 
 def keyword_of(rule: Rule) -> str:
-    """What every match of a rule begins a word with: ``licen`` where the pattern cannot do without it."""
+    """What every match of a rule begins a word with: ``licen`` where no match can do without a word that begins so."""
     outside = rule.pattern
     while outside != (outside := re.sub(r"\([^()]*\)", "", outside)):
         pass
-    return "licen" if "licen" in outside else rule.keyword
+    return "licen" if re.search("(?:^| )licen", outside) else rule.keyword
 
 
 def keyword_gate(signatures: list[Rule]) -> str:
