@@ -100,6 +100,27 @@ def test_gated_scan_finds_every_alternative(documents, monkeypatch):
     assert {r["doc_id"]: r["labels"] for r in digests} == dict(enumerate(texts.values()))
 
 
+def test_creative_commons_in_joined_and_split_spelling(documents):
+    kinds = {
+        "by": ["Attribution"],
+        "by-sa": ["Attribution-ShareAlike", "Attribution-Share Alike"],
+        "by-nc": ["Attribution-NonCommercial", "Attribution-Non-Commercial"],
+        "by-nd": ["Attribution-NoDerivs", "Attribution-NoDerivatives", "Attribution-No Derivatives Works"],
+        "by-nc-sa": ["Attribution-NonCommercial-ShareAlike", "Attribution-Non Commercial-Share Alike", "Attribution-NonCommercial-Share Alike"],
+        "by-nc-nd": ["Attribution-NonCommercial-NoDerivs", "Attribution-NonCommercial-NoDerivatives", "Attribution-Non Commercial-No Derivs"],
+    }
+    cases = [
+        (f"cc-{kind}-{version.replace(' ', '.')}", form, f"{words}Creative Commons {name} {version.replace(' ', '.')}.")
+        for kind, names in kinds.items()
+        for name in names
+        for version in license_rules.VERSIONS
+        for form, words in (("title", ""), ("grant", "Licensed under "))
+    ]
+    docs = documents([(n, text) for n, (_, _, text) in enumerate(cases)])
+    found = {r["doc_id"]: [(d["label"], d["form"]) for d in r["detections"]] for r in licenses.scan(docs).select("doc_id", "detections").collect()}
+    assert [found[n] for n in range(len(cases))] == [[(label, form)] for label, form, _ in cases]
+
+
 def test_secrets_match_plain_form(documents, sample):
     for docs in (documents(AWKWARD), sample):
         for r in secret_scan.digest(secret_scan.scan(docs.withColumn("doc_id", F.col("text")))).collect():

@@ -28,8 +28,8 @@ TOP = max(priority for priority, _ in FORMS.values())
 
 
 def wrapped(pattern: str) -> str:
-    """A pattern over single-spaced words for words between two spaces each."""
-    return f" {pattern.replace(' ', '  ')} "
+    """A pattern over single-spaced words for words between two spaces each; an optional space is two or none."""
+    return f" {pattern.replace(' ?', '(?: )?').replace(' ', '  ')} "
 
 
 def word_line(text: Column) -> Column:
