@@ -1,3 +1,5 @@
+import math
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -212,6 +214,20 @@ def test_covariance_factor_is_the_inverse(spark):
     assert np.allclose(found["_log_det"] * 2, np.linalg.slogdet(cov)[1])
 
 
+def test_determinant_is_minimised_to_its_end(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    size = len(quality_rules.NAMES)
+    x = (rng.normal(size=(400, size)) * [300, 900, 600, 900, 900, 600]).round().astype(int)
+    x[:90] += 2500  # a cluster of outliers
+    rows = spark.createDataFrame([("g", *map(int, r)) for r in x], ["_group", *quality_rules.NAMES]).localCheckpoint()
+    found = quality_rules.estimates(rows).withColumns({"_start": F.lit(0), "_log_det": F.lit(0.0)})
+    log_det = lambda e: -sum(math.log(e["_axes"][i * (i + 3) // 2]) for i in range(size))
+    more = quality_rules._step(rows, found.localCheckpoint()).first()
+    assert log_det(more) >= log_det(found.first()) - 1e-9
+
+
 def test_empty_tables(documents):
     empty = documents([])
     assert licenses.digest(licenses.scan(empty)).count() == 0

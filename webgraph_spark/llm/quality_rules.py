@@ -2,8 +2,8 @@
 
 A document is described by ``STATISTICS``, logarithms of ratios kept as whole thousandths, so that sums over rows
 are exact and reruns agree. For every group the minimum covariance determinant is estimated: from two robust starts,
-the rows with the smallest distances give a mean and a covariance, which give new distances, and so on; the
-estimate with the smaller determinant is kept. Documents far from it by Mahalanobis distance are rejected.
+the rows with the smallest distances give a mean and a covariance, which give new distances, and so on until no
+determinant falls; the estimate with the smallest determinant is kept. Documents far from it by Mahalanobis distance are rejected.
 
 All of it is built-in functions. A step is one aggregate of a narrow table: map-side sums and histograms, one row
 per group, whatever a group's share of the rows. Matrices are factored by expressions on the table of groups.
@@ -42,7 +42,7 @@ LIMIT = 10 * SCALE  # statistics are clipped here, which keeps sums of squares i
 
 LEAST_ROWS = 100  # smaller groups are pooled by language, then all together
 SHARE = 0.75  # of a group's rows in the subset
-STEPS = 3
+MOST_STEPS = 200  # far more than subsets need to settle; an error beyond
 # For six statistics, the factor that makes the covariance of the nearest three quarters that of all rows of a
 # normal distribution; and the squared distance that rejects, the 0.999 quantile of chi-square.
 CONSISTENCY = 1.36
@@ -258,16 +258,26 @@ def _step(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 
 
 def estimates(rows: DataFrame) -> DataFrame:
-    """(_group, _mean, _axes): the estimate with the smaller determinant, for groups of at least LEAST_ROWS rows.
+    """(_group, _mean, _axes): the estimate with the smallest determinant of all steps, for groups of at least LEAST_ROWS rows.
 
     ``rows`` has _group and STATISTICS; only rows that pass the base rules should be among them.
     """
     enough = rows.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= LEAST_ROWS)
     current = cut_lineage(_start_estimates(rows).join(enough.select("_group"), "_group", "left_semi"), "mcd-start")
-    for _ in range(STEPS):
-        current = cut_lineage(_step(rows, current), "mcd-step")
+    # The determinant of a start is that of no subset, so every first step counts as a fall.
+    current, all_steps = current.withColumn("_log_det", F.lit(float("inf"))), None
+    for _ in range(MOST_STEPS):
+        before = current.select("_group", "_start", F.col("_log_det").alias("_before"))
+        new = cut_lineage(_step(rows, current).join(before, ["_group", "_start"]), "mcd-step")
+        all_steps = new if all_steps is None else all_steps.unionByName(new)
+        # Sums are whole numbers, so a subset that stays gives the same determinant to the last bit.
+        current = new.where(F.col("_log_det") < F.col("_before")).drop("_before")
+        if current.isEmpty():
+            break
+    else:
+        raise RuntimeError(f"a determinant still falls after {MOST_STEPS} steps")
     best = F.min_by(F.struct("_mean", "_axes"), F.struct("_log_det", "_start"))
-    return current.groupBy("_group").agg(best.alias("e")).select("_group", "e.*")
+    return all_steps.groupBy("_group").agg(best.alias("e")).select("_group", "e.*")
 
 
 def judge(measured: DataFrame) -> DataFrame:
