@@ -5,7 +5,8 @@ The layout is that of external language-model estimation:
 1. Every word of a piece begins one window of up to ``longest`` words. A task sorts the windows of a block
    of text and writes each distinct one with its count. So what is moved is one row per word place at most,
    not one per place and length, and frequent windows are put together first.
-2. The windows are dealt into ranges of their order and sorted (prefix order). All windows that begin with
+2. The windows are dealt into ranges of their order and sorted (prefix order). The bounds come from a sample of
+   documents and only balance the ranges; nothing is written between. All windows that begin with
    the same words lie next to each other, so the counts of the beginnings of every length are run lengths, taken
    in one pass. Runs that reach an end of a batch or a range are put together afterwards; there are at most
    ``longest`` at either end. So a word that begins a third of all windows splits over batches and ranges.
@@ -24,6 +25,7 @@ rows; texts of any length are read whole; other columns are left out, whatever t
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +40,9 @@ from webgraph_spark.session import cut_lineage
 UNKNOWN = "und"
 # Bytes of text whose windows a task sorts at once.
 BLOCK = 6_000_000
+# Documents, and windows of each, from which the bounds of the ranges are taken.
+SAMPLED = 2_000
+SAMPLED_WINDOWS = 32
 
 # Upper case becomes lower, marks that end a piece become line breaks, tabs blanks.
 _BREAK = b"\n"
@@ -66,16 +71,30 @@ def _windows_of(text: bytes, longest: int) -> tuple[pa.Array, np.ndarray]:
         later = np.append(line[step:], np.zeros(min(step, len(line)), np.int64))
         columns.append(np.where(columns[-1] > 0, later, 0))
     columns = [column[line > 0] for column in columns]
-    sort = np.lexsort(columns[::-1])
+    packed = _packed(columns, len(order))
+    sort = np.lexsort(packed[::-1])
     columns = [column[sort] for column in columns]
     new = np.ones(len(sort), bool)
-    new[1:] = np.logical_or.reduce([column[1:] != column[:-1] for column in columns])
+    new[1:] = np.logical_or.reduce([key[sort[1:]] != key[sort[:-1]] for key in packed])
     first = np.flatnonzero(new)
     words = pa.array([b"", *(word + b" " for word, _ in order)], pa.binary()).cast(pa.string())
     parts = [words.take(pa.array(column[first])) for column in columns]
     return pc.binary_join_element_wise(*parts, ""), np.diff(np.append(first, len(sort)))
 
 
+def _packed(columns: list[np.ndarray], most: int) -> list[np.ndarray]:
+    """The columns in fewer ones of the same order; ``most`` is the largest value."""
+    bits = max(1, most.bit_length())
+    each = max(1, 63 // bits)
+    keys = []
+    for first in range(0, len(columns), each):
+        key = np.zeros(len(columns[0]), np.int64)
+        for column in columns[first : first + each]:
+            key = (key << bits) | column
+        keys.append(key)
+    return keys
+
+
 def _tokens(text: bytes) -> pa.DictionaryArray:
     """Words and line breaks; there may be empty ones."""
     return pa.array(text.replace(_BREAK, b" \n ").split(b" "), pa.binary()).dictionary_encode()
@@ -93,7 +112,13 @@ def _blocks(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def _windows(longest: int):
+def _keys(lang: str, words: pa.Array) -> pa.Array:
+    return pc.binary_join_element_wise(pa.scalar(lang), words, "\n")
+
+
+def _windows(longest: int, bounds: list[bytes]):
+    """(part, key, count): the windows of blocks and the range each belongs to."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
         sizes: dict[str, int] = {}
@@ -101,8 +126,10 @@ def _windows(longest: int):
         def flush(lang: str) -> pa.RecordBatch:
             sizes.pop(lang)
             words, counts = _windows_of(_BREAK.join(held.pop(lang)), longest)
-            keys = pc.binary_join_element_wise(pa.scalar(lang), words, "\n")
-            return pa.record_batch([keys, pa.array(counts, pa.int64())], names=["key", "count"])
+            keys = _keys(lang, words)
+            ends = [bisect_left(range(len(keys)), bound, key=lambda at: keys[at].as_py().encode()) for bound in bounds]
+            part = np.repeat(np.arange(len(bounds) + 1, dtype=np.int32), np.diff([0, *ends, len(keys)]))
+            return pa.record_batch([pa.array(part), keys, pa.array(counts, pa.int64())], names=["part", "key", "count"])
 
         for batch in batches:
             for lang, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
@@ -117,6 +144,31 @@ def _windows(longest: int):
     return work
 
 
+def _sampled(longest: int):
+    """(key, weight): evenly spaced windows of each text, standing for all of them."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                words, counts = _windows_of(text.encode().translate(_FOLD), longest)
+                if len(words):
+                    places = np.unique(np.linspace(0, len(words) - 1, SAMPLED_WINDOWS).astype(np.int64))
+                    weight = np.full(len(places), counts.sum() / len(places))
+                    yield pa.record_batch([_keys(lang, words.take(pa.array(places))), pa.array(weight)], names=["key", "weight"])
+
+    return work
+
+
+def _bounds(texts: DataFrame, longest: int, ranges: int) -> list[bytes]:
+    """Keys that cut the windows into about equal ranges, from ``SAMPLED`` documents or all of a few."""
+    share = min(1.0, SAMPLED / max(1, texts.count()))
+    some = texts.sample(share, seed=11).mapInArrow(_sampled(longest), "key string, weight double").collect()
+    found = sorted((row["key"].encode(), row["weight"]) for row in some)
+    upto = np.cumsum([weight for _, weight in found])
+    cuts = np.searchsorted(upto, upto[-1] * np.arange(1, ranges) / ranges) if found else []
+    return sorted({found[cut][0] for cut in cuts})
+
+
 # --- run lengths ------------------------------------------------------------
 
 
@@ -173,8 +225,9 @@ def phrase_counts(docs: DataFrame, least: int, longest: int = 5) -> DataFrame:
     """(lang, words, count) of all phrases of up to ``longest`` words that occur ``least`` times or more in ``docs``
     (text, lang), and per language one row without words: the count of all its words."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), whole_text("text").alias("text"))
-    windows = cut_lineage(texts.mapInArrow(_windows(longest), "key string, count long"), "windows")
-    dealt = windows.repartitionByRange("key").sortWithinPartitions("key")
+    bounds = _bounds(texts, longest, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    windows = texts.mapInArrow(_windows(longest, bounds), "part int, key string, count long")
+    dealt = windows.repartitionById(len(bounds) + 1, "part").drop("part").sortWithinPartitions("key")
     runs = dealt.mapInArrow(_run_lengths(longest, least), COUNTED)
     whole = runs.groupBy("lang", "words").agg(F.sum("count").alias("count"))
     return whole.where((F.col("count") >= least) | (F.col("words") == ""))
