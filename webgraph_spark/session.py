@@ -64,4 +64,15 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     schema = df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    table = df.sparkSession.read.schema(schema).parquet(path)
+    table.written_to = [path]
+    return table
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Deletes written tables, as ``cut_lineage`` gave them, once everything made from them is written too."""
+    for table in tables:
+        spark = table.sparkSession
+        for path in getattr(table, "written_to", []):
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
