@@ -35,14 +35,14 @@ def lower_words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, list[list[bytes]]]]:
+def slices(batch: pa.RecordBatch, column: str, slice_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, list[list[bytes]]]]:
     """(first row, words of each text) for consecutive slices of a batch."""
     first, words, size = 0, [], 0
     for row, text in enumerate(batch.column(column)):
         value = text.as_py()
         words.append(lower_words(value))
         size += len(value) if value else 0
-        if size >= SLICE_BYTES:
+        if size >= slice_bytes:
             yield first, words
             first, words, size = row + 1, [], 0
     if words:

@@ -1,19 +1,24 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Counts of words and of word pairs are summed over the whole training text in ``SEGMENTS`` ranges of their hashes.
-A count becomes a level, 1 + floor(log2(count)), and an n-gram is put into the Bloom filter of its segment once for every
-level up to its own, with ``BITS`` bits per entry at every size. A count is read back by probing level after level until
-one is missing, and the pair model is smoothed with the word model of the same filter.
-
-No filter is held whole. The distinct n-grams of each slice of documents are sent to their segments, and the levels read
-there come back to the slice, which then scores its documents. What grows with the corpus stays in tables. The one
-broadcast is bounded: exact counts of ``FREQUENT`` words, since no more than that many can each hold one in FREQUENT of
-all tokens. Exact counts of all other words meet the documents in a join.
+Counts of words and of word pairs are summed over the whole training text in segments of their hashes, whose number
+grows with the text. A count becomes a level, 1 + floor(log2(count)), and an n-gram is put into the Bloom filter of its
+segment once for every level up to its own, with ``BITS`` bits per entry at every size. A count is read back by probing
+level after level until one is missing, and the pair model is smoothed with the word model of the same filter.
+
+The filter is broadcast in ranges of segments, with the exact counts of their words, of at most ``RANGE_BYTES`` each. The
+first range is asked while the documents are read; where it is the only one, they are scored in that pass. Otherwise the
+distinct n-grams of each slice of documents are written by range, the other ranges are broadcast one after the other
+and probed for their part in place, and the answers, a byte for each n-gram and a count for each word, come back to the
+slices. Scores do not depend on the number of ranges, and no more than one range is held anywhere.
+
+Texts of any length are scored whole; NULL texts are empty; columns other than doc_id and text are left out.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -24,46 +29,107 @@ from pyspark.sql import functions as F
 
 from webgraph_spark.llm import hashing
 from webgraph_spark.llm.common import held_part
-from webgraph_spark.session import cut_lineage
+from webgraph_spark.session import cut_lineage, new_path
 
 END = b" "  # no word holds a space
 ADD = 0.1
-SEGMENTS = 4096
+SEGMENT_BITS = 12  # at least; a segment has the n-grams of about SEGMENT_TEXT bytes of text
+SEGMENT_TEXT = 2**24
+KEY_BITS = 60  # of a word whose count is exact
 LOW_BITS = 48
+SHORT = np.uint64(12)  # lowest bits that keys in the filter go without
 LOW = np.uint64(2**LOW_BITS - 1)
 
-FREQUENT = 2**20
 BITS = 12  # per entry
 PROBES = 4
 LEVELS = 40
-# Words added to each context in proportion to the word model.
+RANGE_BYTES = 2**25  # of filter and counts that are broadcast at once
+# Words added to each context in proportion to the word model. Chosen on training rows of sf0.01 (remainders 2 to 9 teach,
+# 1 checks): mean log10 probability of a token -3.70, -3.68, -3.67, -3.68, -3.70 with 10, 20, 50, 100, 200.
 PRIOR = 50.0
-FLUSH = 4_000_000  # n-grams a task holds before it passes their counts on
+SLICE_TEXT = 4_000_000  # bytes of text whose n-grams are asked together
+FLUSH = 3_000_000  # n-grams a task holds before it passes their counts on
 
 _GOLDEN = 0x9E3779B97F4A7C15
 _PAIR = hashing.multipliers(2, 31)
 
-COUNTS = "segment int, pair boolean, lows binary, counts binary"
-SEGMENT = "segment int, words binary, word_counts binary, filter binary, tokens long, kinds long"
+COUNTS = "segment long, pair boolean, keys binary, counts binary"
+SEGMENT = "segment long, words binary, word_counts binary, filter binary, tokens long, kinds long"
 
 
 def keys_of(hashes: np.ndarray) -> np.ndarray:
-    """60-bit keys: 12 bits of segment, 48 bits inside."""
-    return hashing.mixed(hashes) >> np.uint64(4)
+    """Keys of KEY_BITS; the highest bits are the segment."""
+    return hashing.mixed(hashes) >> np.uint64(64 - KEY_BITS)
+
+
+def segment_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys >> np.uint64(KEY_BITS - bits)).astype(np.int64)
+
+
+def short(keys: np.ndarray) -> np.ndarray:
+    """Keys as the filter knows them."""
+    return (keys >> SHORT) << SHORT
 
 
 def pair_keys(hashes: np.ndarray, before: np.ndarray) -> np.ndarray:
-    return keys_of(before * _PAIR[0] + hashes * _PAIR[1])
+    return short(keys_of(before * _PAIR[0] + hashes * _PAIR[1]))
 
 
 def _pack_low(keys: np.ndarray) -> bytes:
     return np.ascontiguousarray((keys & LOW).view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
 
-def _unpack_low(data: bytes, segment: int) -> np.ndarray:
+def _unpack_low(data: bytes, segment: int, bits: int) -> np.ndarray:
+    """Keys of a segment from their LOW_BITS lowest bits; there are SEGMENT_BITS above these."""
     out = np.zeros((len(data) // 6, 8), np.uint8)
     out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return out.view(np.uint64).ravel() | (np.uint64(segment) << np.uint64(LOW_BITS))
+    return out.view(np.uint64).ravel() | (np.uint64(segment >> (bits - SEGMENT_BITS)) << np.uint64(LOW_BITS))
+
+
+def _pack_sorted(keys: np.ndarray) -> bytes:
+    """Keys of the filter in order: four bytes each, and once what is above these."""
+    highs, counts = np.unique(keys >> np.uint64(44), return_counts=True)
+    lows = ((keys >> SHORT) & np.uint64(2**32 - 1)).astype(np.uint32)
+    return b"".join(a.tobytes() for a in (np.array([len(highs)], np.int64), highs.astype(np.uint32), counts.astype(np.uint32), lows))
+
+
+def _unpack_sorted(data: bytes) -> np.ndarray:
+    groups = int(np.frombuffer(data, np.int64, 1)[0])
+    highs, counts = (np.frombuffer(data, np.uint32, groups, 8 + 4 * groups * k) for k in (0, 1))
+    lows = np.frombuffer(data, np.uint32, -1, 8 + 8 * groups).astype(np.uint64)
+    return ((np.repeat(highs.astype(np.uint64), counts) << np.uint64(32)) | lows) << SHORT
+
+
+def _squeezed(values: np.ndarray) -> bytes:
+    """Bytes of numbers, all lowest ones first: the upper ones are mostly zero and shrink to nothing."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zlib.compress(planes.tobytes(), 1)
+
+
+def _expanded(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    flat = np.frombuffer(zlib.decompress(data), np.uint8)
+    return np.ascontiguousarray(flat.reshape(size, len(flat) // size).T).reshape(-1).view(kind)
+
+
+def _framed(*parts: bytes) -> bytes:
+    return np.array([len(parts), *map(len, parts)], np.int64).tobytes() + b"".join(parts)
+
+
+def _unframed(data: bytes) -> list[bytes]:
+    count = int(np.frombuffer(data, np.int64, 1)[0])
+    ends = np.cumsum([8 + 8 * count, *np.frombuffer(data, np.int64, count, 8)])
+    return [data[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the distinct keys in order, the place of each key among them); sorting is much faster than hashing here."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.append(True, ordered[1:] != ordered[:-1])
+    places = np.empty(len(keys), np.int64)
+    places[order] = np.cumsum(new) - 1
+    return ordered[new], places
 
 
 def _tokens(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -94,39 +160,44 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return all_keys[starts], np.add.reduceat(all_counts, starts) if len(starts) else np.zeros(0, np.int64)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[bool, list] = {False: [], True: []}
-    size = 0
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        for pair, parts in held.items():
-            keys, counts = _summed([k for k, _ in parts], [c for _, c in parts])
-            parts.clear()
-            bounds = np.searchsorted(keys >> np.uint64(LOW_BITS), np.arange(SEGMENTS + 1, dtype=np.uint64))
-            rows = [(s, bounds[s], bounds[s + 1]) for s in range(SEGMENTS) if bounds[s] < bounds[s + 1]]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([s for s, _, _ in rows], pa.int32()),
-                    pa.array([pair] * len(rows), pa.bool_()),
-                    pa.array([_pack_low(keys[a:b]) for _, a, b in rows], pa.binary()),
-                    pa.array([counts[a:b].astype("<u4").tobytes() for _, a, b in rows], pa.binary()),
-                ],
-                ["segment", "pair", "lows", "counts"],
-            )
-
-    for batch in batches:
-        for _, texts in hashing.slices(batch, "text"):
-            known, numbers, ends = _tokens(texts)
-            held[False].append((keys_of(known), np.bincount(numbers, minlength=len(known))))
-            hashes = known[numbers]
-            before = known[_before(numbers, ends, _end_number(known))]
-            pairs, counts = np.unique(pair_keys(hashes, before), return_counts=True)
-            held[True].append((pairs, counts))
-            size += len(pairs) + len(known)
-            if size >= FLUSH:
-                yield from flush()
-                size = 0
-    yield from flush()
+def _counted(bits: int):
+    """(segment, pair, keys, counts) of blocks of tokens."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bool, list] = {False: [], True: []}
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for pair, parts in held.items():
+                keys, counts = _summed([k for k, _ in parts], [c for _, c in parts])
+                parts.clear()
+                segments, starts = np.unique(segment_of(keys, bits), return_index=True)
+                bounds = list(zip(starts, [*starts[1:], len(keys)]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(segments, pa.int64()),
+                        pa.array([pair] * len(bounds), pa.bool_()),
+                        pa.array([(_pack_sorted if pair else _pack_low)(keys[a:b]) for a, b in bounds], pa.binary()),
+                        pa.array([counts[a:b].astype("<u4").tobytes() for a, b in bounds], pa.binary()),
+                    ],
+                    ["segment", "pair", "keys", "counts"],
+                )
+
+        for batch in batches:
+            for _, texts in hashing.slices(batch, "text"):
+                known, numbers, ends = _tokens(texts)
+                held[False].append((keys_of(known), np.bincount(numbers, minlength=len(known))))
+                hashes = known[numbers]
+                before = known[_before(numbers, ends, _end_number(known))]
+                pairs, places = _distinct(pair_keys(hashes, before))
+                held[True].append((pairs, np.bincount(places)))
+                size += len(pairs) + len(known)
+                if size >= FLUSH:
+                    yield from flush()
+                    size = 0
+        yield from flush()
+
+    return count
 
 
 def _levels(counts: np.ndarray) -> np.ndarray:
@@ -137,26 +208,28 @@ def _entries(words: np.ndarray, pairs: np.ndarray) -> int:
     return int(_levels(words).sum() + _levels(pairs).sum())
 
 
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums what tasks have counted; a partition holds whole segments."""
-    parts: dict[tuple[int, bool], list] = {}
-    for batch in batches:
-        for segment, pair, lows, counts in zip(*(column.to_pylist() for column in batch.columns)):
-            parts.setdefault((segment, pair), []).append((lows, counts))
-    for segment in sorted({segment for segment, _ in parts}):
-        row: list = [segment]
+def _segments(bits: int):
+    """Sums what tasks have counted, one segment after the other; rows come in order of segment."""
+
+    def build(segment: int, rows: list[tuple]) -> pa.RecordBatch:
+        row: list = []
         for pair in (False, True):
-            given = parts.pop((segment, pair), [])
-            keys, counts = _summed(
-                [_unpack_low(lows, segment) for lows, _ in given], [np.frombuffer(c, "<u4").astype(np.int64) for _, c in given]
-            )
-            row += [keys, counts]
-        _, words, word_counts, pairs, pair_counts = row
+            own = [(data, counts) for is_pair, data, counts in rows if is_pair == pair]
+            keys = [_unpack_sorted(data) if pair else _unpack_low(data, segment, bits) for data, _ in own]
+            row += _summed(keys, [np.frombuffer(c, "<u4").astype(np.int64) for _, c in own])
+        words, word_counts, pairs, pair_counts = row
         own = _filter_bytes(words, word_counts, pairs, pair_counts, BITS, _entries(word_counts, pair_counts))
         values = [segment, words.tobytes(), word_counts.tobytes(), own.tobytes(), int(word_counts.sum()), len(words)]
-        kinds = [pa.int32(), *[pa.binary()] * 3, pa.int64(), pa.int64()]
+        kinds = [pa.int64(), *[pa.binary()] * 3, pa.int64(), pa.int64()]
         names = ["segment", "words", "word_counts", "filter", "tokens", "kinds"]
-        yield pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(values, kinds)], names)
+        return pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(values, kinds)], names)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns), strict=True))
+        for segment, members in groupby(rows, key=lambda row: row[0]):
+            yield build(segment, [row[1:] for row in members])
+
+    return work
 
 
 def _places(keys: np.ndarray, level: int, bits: np.ndarray, probe: int) -> np.ndarray:
@@ -169,7 +242,7 @@ def _filter_bytes(words, word_counts, pairs, pair_counts, bits_each: float, entr
     size = max(8, int(np.ceil(entries * bits_each / 8)))
     marks = np.zeros(size * 8, bool)
     total = np.full(1, size * 8, np.uint64)
-    for keys, counts in ((words, word_counts), (pairs, pair_counts)):
+    for keys, counts in ((short(words), word_counts), (pairs, pair_counts)):
         levels = _levels(counts)
         for level in range(1, int(levels.max(initial=0)) + 1):
             own = keys[levels >= level]
@@ -179,15 +252,26 @@ def _filter_bytes(words, word_counts, pairs, pair_counts, bits_each: float, entr
 
 
 class LogFrequencyFilter(NamedTuple):
-    """One Bloom filter per segment, one after the other."""
+    """The Bloom filters of consecutive segments, one after the other, and the exact counts of their words."""
 
+    segment_bits: int
+    first: int  # segment
     data: np.ndarray
     starts: np.ndarray  # bytes
     bits: np.ndarray
+    words: np.ndarray  # in order
+    counts: np.ndarray
+
+    def exact(self, words: np.ndarray) -> np.ndarray:
+        """The counts of ``words``, which are in order."""
+        if not len(self.words):
+            return np.zeros(len(words), np.int64)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, self.counts[at], 0)
 
     def levels(self, keys: np.ndarray, first: int) -> np.ndarray:
         """The highest level of each key that is there with all levels from ``first``; ``first`` - 1 without any."""
-        segment = (keys >> np.uint64(LOW_BITS)).astype(np.int64)
+        segment = segment_of(keys, self.segment_bits) - self.first
         starts, bits = self.starts[segment], self.bits[segment]
         found = np.full(len(keys), first - 1, np.int64)
         open_ = np.arange(len(keys))
@@ -208,68 +292,69 @@ def read_back(levels: np.ndarray, first: int) -> np.ndarray:
     return np.where(levels >= first, middle, 0.0)
 
 
-def _assembled(rows: list) -> LogFrequencyFilter:
-    parts = {row["segment"]: np.frombuffer(row["filter"], np.uint8) for row in rows}
+def _assembled(rows: list, bits: int, first: int, last: int) -> LogFrequencyFilter:
+    """The filter of the segments from ``first`` to before ``last``; one without n-grams is empty."""
+    by_segment = {row["segment"]: row for row in rows}
     empty = np.zeros(8, np.uint8)
-    ordered = [parts.get(s, empty) for s in range(SEGMENTS)]
+    ordered = [np.frombuffer(by_segment[s]["filter"], np.uint8) if s in by_segment else empty for s in range(first, last)]
     sizes = np.array([len(p) for p in ordered], np.int64)
-    return LogFrequencyFilter(np.concatenate(ordered), np.cumsum(sizes) - sizes, (sizes * 8).astype(np.uint64))
-
-
-def _word_rows(least: float):
-    """Blobs of the words that are at least that frequent, for the driver."""
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys, counts = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["word_counts"], np.int64)
-                own = counts >= least
-                blobs = [pa.array([keys[own].tobytes()]), pa.array([counts[own].tobytes()])]
-                yield pa.RecordBatch.from_arrays(blobs, ["words", "counts"])
-
-    return pick
-
-
-def _rare_rows(least: float):
-    """One row per word that is not among the frequent ones."""
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys, counts = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["word_counts"], np.int64)
-                own = counts < least
-                columns = [pa.array(keys[own].astype(np.int64)), pa.array(counts[own])]
-                yield pa.RecordBatch.from_arrays(columns, ["word", "c"])
-
-    return pick
+    # Words of a segment are in order, and so are segments.
+    words = b"".join(by_segment[s]["words"] for s in sorted(by_segment))
+    counts = b"".join(by_segment[s]["word_counts"] for s in sorted(by_segment))
+    return LogFrequencyFilter(
+        bits,
+        first,
+        np.concatenate(ordered),
+        np.cumsum(sizes) - sizes,
+        (sizes * 8).astype(np.uint64),
+        np.frombuffer(words, np.uint64),
+        np.frombuffer(counts, np.int64),
+    )
 
 
 class Model(NamedTuple):
     """What scoring needs of the training text."""
 
     segments: DataFrame
+    bits: int  # of a segment's number
+    bounds: list[int]  # first segments of the ranges, and the number of segments
     tokens: int
     kinds: int
-    least_frequent: float
-    words: np.ndarray  # keys of frequent words, in order
-    counts: np.ndarray
+
+    def filter_of(self, part: int) -> LogFrequencyFilter:
+        """The filter and counts of a range, at most RANGE_BYTES."""
+        first, last = self.bounds[part : part + 2]
+        own = self.segments.where((F.col("segment") >= first) & (F.col("segment") < last))
+        return _assembled(own.select("segment", "filter", "words", "word_counts").collect(), self.bits, first, last)
+
+
+def _range_bounds(segments: DataFrame, bits: int) -> list[int]:
+    """Ranges of equally many segments, as many as it takes for the largest to fit."""
+    size = F.octet_length("filter") + F.octet_length("words") + F.octet_length("word_counts")
+    total = segments.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    ranges = min(2**bits, total // RANGE_BYTES + 1)
+    while ranges < 2**bits:
+        part = F.floor(F.col("segment") * ranges / 2**bits)
+        largest = segments.groupBy(part).agg(F.sum(size).alias("size")).agg(F.max("size")).first()[0]
+        if largest is None or largest <= RANGE_BYTES:
+            break
+        ranges += ranges // 8 + 1
+    return [-(-part * 2**bits // ranges) for part in range(ranges + 1)]
 
 
 def fit(docs: DataFrame) -> Model:
     """Counts all tokens and pairs of ``docs`` (text) and builds the filters. Without rows the model is empty."""
-    counted = docs.select("text").mapInArrow(_counted, COUNTS)
-    segments = cut_lineage(counted.repartition("segment").mapInArrow(_segments, SEGMENT), "lm-segments")
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bits = max(SEGMENT_BITS, (size // SEGMENT_TEXT).bit_length())
+    counted = docs.select("text").mapInArrow(_counted(bits), COUNTS)
+    dealt = counted.repartition("segment").sortWithinPartitions("segment")
+    segments = cut_lineage(dealt.mapInArrow(_segments(bits), SEGMENT), "lm-segments")
     totals = segments.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("tokens", "kinds")]).first()
-    # At most FREQUENT words.
-    least = max(1.0, totals["tokens"] / FREQUENT)
-    blobs = segments.select("words", "word_counts").mapInArrow(_word_rows(least), "words binary, counts binary").collect()
-    words = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(b["words"], np.uint64) for b in blobs]])
-    counts = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(b["counts"], np.int64) for b in blobs]])
-    order = np.argsort(words)
-    return Model(segments, totals["tokens"], totals["kinds"], least, words[order], counts[order])
+    return Model(segments, bits, _range_bounds(segments, bits), totals["tokens"], totals["kinds"])
 
 
-# Three kinds of rows: a document (no slice), the tokens of a slice (no segment), and the n-grams a slice asks of a segment.
+# Three kinds of rows: a document, the tokens of a slice, and the n-grams that a slice asks of a later range (part from 1).
+DOCUMENT, SLICE = -2, -1
 PREPARED = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -278,21 +363,16 @@ PREPARED = pa.schema(
         ("n_tokens", pa.int64()),
         ("known", pa.int64()),
         ("base", pa.float64()),
-        ("rare", pa.list_(pa.int64())),
-        ("times", pa.list_(pa.int32())),
+        ("score", pa.float64()),
         ("slice", pa.int64()),
-        ("segment", pa.int32()),
         ("data", pa.binary()),
+        ("part", pa.int32()),
     ]
 )
 PREPARED_DDL = (
-    "doc_id long, held_out boolean, uid long, n_tokens long, known long, base double, rare array<long>, times array<int>, "
-    "slice long, segment int, data binary"
+    "doc_id long, held_out boolean, uid long, n_tokens long, known long, base double, score double, "
+    "slice long, data binary, part int"
 )
-# Columns of a slice that are kept in one binary: what documents it has, their bounds, its words and its tokens.
-_PARTS = 4
-
-
 def _rows(length: int, **columns: pa.Array) -> pa.RecordBatch:
     """A batch of PREPARED; columns that are not given are NULL."""
     arrays = [columns[f.name].cast(f.type) if f.name in columns else pa.nulls(length, f.type) for f in PREPARED]
@@ -300,21 +380,19 @@ def _rows(length: int, **columns: pa.Array) -> pa.RecordBatch:
 
 
 def _pack_slice(uids: np.ndarray, ends: np.ndarray, known: np.ndarray, numbers: np.ndarray) -> bytes:
-    narrow = numbers.astype(np.uint16 if len(known) <= 2**16 else np.uint32)
-    sizes = np.array([len(uids), len(ends), len(known), narrow.itemsize], np.int64)
-    parts = [sizes, uids.astype(np.int64), ends.astype(np.int64), known.astype(np.uint64), narrow]
-    return b"".join(p.tobytes() for p in parts)
+    """A slice with its distinct tokens in order, so that their differences are short."""
+    order = np.argsort(known)
+    rank = np.empty(len(known), np.uint32)
+    rank[order] = np.arange(len(known))
+    parts = [column.astype(np.int64).tobytes() for column in (uids, ends)]
+    return _framed(*parts, _squeezed(np.diff(known[order], prepend=np.uint64(0))), _squeezed(rank[numbers]))
 
 
 def _unpack_slice(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(uids, ends, known, numbers) as they were packed."""
-    *sizes, width = np.frombuffer(data, np.int64, _PARTS)
-    at, parts = 8 * _PARTS, []
-    for size, kind in zip(sizes, (np.int64, np.int64, np.uint64)):
-        parts.append(np.frombuffer(data, kind, size, at))
-        at += 8 * int(size)
-    numbers = np.frombuffer(data, np.uint16 if width == 2 else np.uint32, -1, at)
-    return *parts, numbers.astype(np.int64)
+    """(uids, ends, known, numbers), numbers being places among ``known`` in order."""
+    uids, ends, known, numbers = _unframed(data)
+    columns = [np.frombuffer(part, np.int64) for part in (uids, ends)]
+    return *columns, np.cumsum(_expanded(known, np.uint64), dtype=np.uint64), _expanded(numbers, np.uint32).astype(np.int64)
 
 
 def _grams(known: np.ndarray, numbers: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -323,130 +401,148 @@ def _grams(known: np.ndarray, numbers: np.ndarray, ends: np.ndarray) -> tuple[np
     return keys_of(known), before, pair_keys(known[numbers], known[before])
 
 
-def _prepared(shared, tokens: int, kinds: int):
-    """Exact counts of frequent words, and what the model has to be asked for each slice."""
+class Totals(NamedTuple):
+    tokens: int
+    kinds: int
+    prior: float
+    bits: int
+    bounds: list[int]
+
+    def ends(self, keys: np.ndarray) -> np.ndarray:
+        """Where the keys of each range begin and end; ``keys`` are in order."""
+        return np.searchsorted(segment_of(keys, self.bits), np.array(self.bounds))
+
+
+class Asked(NamedTuple):
+    """The distinct words and n-grams of a slice, in order of key."""
+
+    words: np.ndarray
+    word_places: np.ndarray  # of every distinct token among ``words``
+    grams: np.ndarray
+    gram_places: np.ndarray  # of every distinct token, then of every pair, among ``grams``
+    before: np.ndarray
+
+    @classmethod
+    def of(cls, known: np.ndarray, numbers: np.ndarray, ends: np.ndarray) -> Asked:
+        keys, before, pairs = _grams(known, numbers, ends)
+        return cls(*_distinct(keys), *_distinct(np.concatenate([short(keys), pairs])), before)
+
+
+def _told(own: LogFrequencyFilter, words: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return own.exact(words), own.levels(grams, 1).astype(np.uint8)
+
+
+def _text_scores(model: Totals, asked: Asked, counts, levels, numbers: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """(known tokens, base score, score) of every text of a slice, from the counts of its words and levels of its n-grams."""
+    exact = counts[asked.word_places]
+    base = np.log10((exact + ADD) / (model.tokens + ADD * (model.kinds + 1)))[numbers]
+    known = (exact > 0).astype(np.int64)[numbers]
+    # No count is more than all tokens, whatever its level stands for.
+    read = np.minimum(read_back(levels.astype(np.int64), 1), model.tokens)[asked.gram_places]
+    alone, pair = read[: len(exact)], read[len(exact) :]
+    share = (alone + ADD) / (model.tokens + ADD * (model.kinds + 1))
+    context = alone[asked.before]
+    chance = (np.minimum(pair, context) + model.prior * share[numbers]) / (context + model.prior)
+    return [np.add.reduceat(column, ends[:-1]) for column in (known, base, np.log10(chance))]
+
+
+def _pack_told(counts: np.ndarray, levels: np.ndarray) -> bytes:
+    return _framed(_squeezed(counts.astype(np.int64)), _squeezed(levels))
+
+
+def _unpack_told(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    counts, levels = _unframed(data)
+    return _expanded(counts, np.int64), _expanded(levels, np.uint8)
+
+
+def _pack_asked(words: np.ndarray, grams: np.ndarray) -> bytes:
+    return _framed(_squeezed(np.diff(words, prepend=np.uint64(0))), _pack_sorted(grams))
+
+
+def _unpack_asked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    words, grams = _unframed(data)
+    return np.cumsum(_expanded(words, np.uint64), dtype=np.uint64), _unpack_sorted(grams)
+
+
+def _prepared(first_range, model: Totals):
+    """Documents, with scores where there is one range; slices, and what later ranges have to be asked, where there are more."""
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = shared.value
-        total = tokens + ADD * (kinds + 1)
+        own = LogFrequencyFilter(*first_range.value)
+        whole = len(model.bounds) == 2
         for batch in batches:
-            for first, texts in hashing.slices(batch, "text"):
-                known, numbers, ends = _tokens(texts)
-                keys, _, pairs = _grams(known, numbers, ends)
-                # Exact counts of frequent words; the others are counted in a join.
-                at = np.minimum(np.searchsorted(words, keys), max(len(words) - 1, 0))
-                frequent = words[at] == keys if len(words) else np.zeros(len(keys), bool)
-                exact = np.where(frequent, counts[at] if len(words) else 0, 0)
-                base = np.where(frequent, np.log10((exact + ADD) / total), 0.0)
-                rare, times = [], []
-                for a, b in zip(ends[:-1], ends[1:]):
-                    mine = numbers[a:b]
-                    found, n = np.unique(mine[~frequent[mine]], return_counts=True)
-                    rare.append(keys[found].astype(np.int64))
-                    times.append(n.astype(np.int32))
+            for first, texts in hashing.slices(batch, "text", SLICE_TEXT):
+                tokens, numbers, ends = _tokens(texts)
+                asked = Asked.of(tokens, numbers, ends)
+                word_ends, gram_ends = model.ends(asked.words), model.ends(asked.grams)
+                told = _told(own, asked.words[: word_ends[1]], asked.grams[: gram_ends[1]])
+                scores = {}
+                if whole:
+                    found = _text_scores(model, asked, *told, numbers, ends)
+                    scores = {name: pa.array(column) for name, column in zip(("known", "base", "score"), found)}
                 part = batch.slice(first, len(texts))
-                yield _rows(
-                    len(texts),
-                    doc_id=part.column("doc_id"),
-                    held_out=part.column("held_out"),
-                    uid=part.column("uid"),
-                    n_tokens=pa.array(np.diff(ends)),
-                    known=pa.array(np.add.reduceat(frequent[numbers].astype(np.int64), ends[:-1])),
-                    base=pa.array(np.add.reduceat(base[numbers], ends[:-1])),
-                    rare=pa.array(rare, pa.list_(pa.int64())),
-                    times=pa.array(times, pa.list_(pa.int32())),
-                )
+                columns = {name: part.column(name) for name in ("doc_id", "held_out", "uid")}
+                size = pa.array(np.diff(ends))
+                yield _rows(len(texts), **columns, n_tokens=size, part=pa.array(np.full(len(texts), DOCUMENT)), **scores)
+                if whole:
+                    continue
                 uids = part.column("uid").to_numpy()
-                name = int(uids[0])
-                yield _rows(1, slice=pa.array([name]), data=pa.array([_pack_slice(uids, ends, known, numbers)]))
-                asked = np.unique(np.concatenate([keys, pairs]))
-                bounds = np.searchsorted(asked >> np.uint64(LOW_BITS), np.arange(SEGMENTS + 1, dtype=np.uint64))
-                hit = np.flatnonzero(np.diff(bounds))
-                yield _rows(
-                    len(hit),
-                    slice=pa.array(np.full(len(hit), name)),
-                    segment=pa.array(hit),
-                    data=pa.array([_pack_low(asked[bounds[s] : bounds[s + 1]]) for s in hit], pa.binary()),
-                )
+                bounds = list(zip(word_ends[1:], word_ends[2:], gram_ends[1:], gram_ends[2:]))
+                data = [_pack_slice(uids, ends, tokens, numbers), _pack_told(*told)]
+                data += [_pack_asked(asked.words[a:b], asked.grams[c:d]) for a, b, c, d in bounds]
+                kinds = [SLICE, *range(len(model.bounds) - 1)]
+                name = pa.array(np.full(len(kinds), uids[0]))
+                yield _rows(len(kinds), slice=name, data=pa.array(data, pa.binary()), part=pa.array(kinds))
 
     return prepare
 
 
-ANSWERS = "slice long, segment int, data binary"
-
-
-def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Levels, a byte each, of the n-grams asked. The filter of a segment (no slice) comes before its questions."""
-    last: list[dict] = []
-    for batch in batches:
-        segments, slices = batch.column("segment").to_pylist(), batch.column("slice").to_pylist()
-        data = batch.column("data").to_pylist()
-        filters = last + [{"segment": s, "filter": d} for s, n, d in zip(segments, slices, data) if n is None]
-        last = filters[-1:]
-        asked = [i for i, n in enumerate(slices) if n is not None]
-        if not asked:
-            continue
-        keys = [_unpack_low(data[i], segments[i]) for i in asked]
-        levels = _assembled(filters).levels(np.concatenate(keys), 1).astype(np.uint8)
-        ends = np.cumsum([0, *map(len, keys)])
-        columns = [
-            pa.array([slices[i] for i in asked], pa.int64()),
-            pa.array([segments[i] for i in asked], pa.int32()),
-            pa.array([levels[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, ["slice", "segment", "data"])
-
-
-def _slice_scores(data: bytes, answers: bytes, tokens: int, kinds: int, prior: float) -> tuple[np.ndarray, np.ndarray]:
-    """(uid, score) of the documents of a slice; ``answers`` are the levels of its distinct n-grams in order of key."""
-    uids, ends, known, numbers = _unpack_slice(data)
-    keys, before, pairs = _grams(known, numbers, ends)
-    asked = np.unique(np.concatenate([keys, pairs]))
-    levels = np.frombuffer(answers, np.uint8).astype(np.int64)
-    if len(levels) != len(asked):
-        raise ValueError(f"{len(levels)} levels for {len(asked)} n-grams")
-    # No count is more than all tokens, whatever its level stands for.
-    counts = np.minimum(read_back(levels, 1), tokens)
-    alone, pair = counts[np.searchsorted(asked, keys)], counts[np.searchsorted(asked, pairs)]
-    share = (alone + ADD) / (tokens + ADD * (kinds + 1))
-    context = alone[before]
-    chance = (np.minimum(pair, context) + prior * share[numbers]) / (context + prior)
-    return uids, np.add.reduceat(np.log10(chance), ends[:-1])
+def _probed(shared):
+    """(slice, data, part): the answers to what data asks."""
 
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = LogFrequencyFilter(*shared.value)
+        for batch in batches:
+            told = [_pack_told(*_told(own, *_unpack_asked(data.as_py()))) for data in batch.column("data")]
+            columns = [batch.column("slice"), pa.array(told, pa.binary()), batch.column("part")]
+            yield pa.RecordBatch.from_arrays(columns, ["slice", "data", "part"])
 
-def _scored(tokens: int, kinds: int, prior: float):
-    """Scores of the documents of each slice. Its tokens (no segment) come before the answers, in order of segment."""
+    return probe
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, answers = None, []
 
-        def done() -> pa.RecordBatch:
-            uids, scores = _slice_scores(own, b"".join(answers), tokens, kinds, prior)
-            return pa.RecordBatch.from_arrays([pa.array(uids), pa.array(scores)], ["uid", "score"])
+def _scored(model: Totals):
+    """(uid, known, base, score) of the documents of each slice; its tokens come first, then the answers by range."""
 
-        for batch in batches:
-            for segment, data in zip(batch.column("segment").to_pylist(), batch.column("data").to_pylist()):
-                if segment is not None:
-                    answers.append(data)
-                    continue
-                if own is not None:
-                    yield done()
-                own, answers = data, []
-        if own is not None:
-            yield done()
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns), strict=True))
+        for _, members in groupby(rows, key=lambda row: row[0]):
+            (_, tokens, _), *answers = members
+            uids, ends, known, numbers = _unpack_slice(tokens)
+            asked = Asked.of(known, numbers, ends)
+            counts, levels = (np.concatenate(parts) for parts in zip(*(_unpack_told(data) for _, data, _ in answers)))
+            if (len(counts), len(levels)) != (len(asked.words), len(asked.grams)):
+                raise ValueError(f"{len(levels)} levels for {len(asked.grams)} n-grams")
+            found = _text_scores(model, asked, counts, levels, numbers, ends)
+            columns = [pa.array(column) for column in (uids, *found)]
+            yield pa.RecordBatch.from_arrays(columns, ["uid", "known", "base", "score"])
 
     return score
 
 
-def _model_scores(model: Model, slices: DataFrame, prior: float) -> DataFrame:
-    """(uid, score): the n-grams of ``slices`` go to the filters of their segments and the levels come back."""
-    asked = slices.where(F.col("segment").isNotNull())
-    filters = model.segments.select(F.lit(None).cast("long").alias("slice"), "segment", F.col("filter").alias("data"))
-    met = asked.unionByName(filters).repartition("segment").sortWithinPartitions("segment", F.asc_nulls_first("slice"))
-    answers = met.mapInArrow(_answered, ANSWERS)
-    whole = slices.where(F.col("segment").isNull()).unionByName(answers)
-    ordered = whole.repartition("slice").sortWithinPartitions("slice", F.asc_nulls_first("segment"))
-    return ordered.mapInArrow(_scored(model.tokens, model.kinds, prior), "uid long, score double")
+def _slice_scores(prepared: DataFrame, model: Model, totals: Totals) -> DataFrame:
+    """(uid, known, base, score) where there are several ranges: each is broadcast in turn and told what is asked of it."""
+    spark = prepared.sparkSession
+    path = new_path(spark, "lm-answers")
+    slices = prepared.select("slice", "data", "part")
+    for part in range(1, len(model.bounds) - 1):
+        shared = spark.sparkContext.broadcast(tuple(model.filter_of(part)))
+        asked = slices.where(F.col("part") == part)
+        asked.mapInArrow(_probed(shared), "slice long, data binary, part int").write.parquet(f"{path}/range={part}")
+        shared.destroy()
+    answers = spark.read.schema("slice long, data binary, part int").parquet(path).select("slice", "data", "part")
+    whole = slices.where(F.col("part").isin(SLICE, 0)).unionByName(answers)
+    ordered = whole.repartition("slice").sortWithinPartitions("slice", "part")
+    return ordered.mapInArrow(_scored(totals), "uid long, known long, base double, score double")
 
 
 def score(docs: DataFrame, held_parts: int = 10, prior: float = PRIOR) -> DataFrame:
@@ -456,30 +552,25 @@ def score(docs: DataFrame, held_parts: int = 10, prior: float = PRIOR) -> DataFr
     NULL texts are empty: one END token. NULL ids count as an empty id. Every row is scored by itself, equal rows alike. A table
     without training rows gives every token the same share. An empty table gives an empty table.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (held_part("doc_id", held_parts) == 0).alias("held_out"))
     model = fit(rows.where(~F.col("held_out")))
-    shared = docs.sparkSession.sparkContext.broadcast((model.words, model.counts))
-    with_uid = rows.withColumn("uid", F.monotonically_increasing_id())
-    prepared = cut_lineage(with_uid.mapInArrow(_prepared(shared, model.tokens, model.kinds), PREPARED_DDL), "lm-prepared")
-    scored = prepared.where(F.col("slice").isNull()).drop("slice", "segment", "data")
-    slices = prepared.where(F.col("slice").isNotNull()).select("slice", "segment", "data")
-    rare = scored.select("uid", F.explode(F.arrays_zip("rare", "times")).alias("t")).select(
-        "uid", F.col("t.rare").alias("word"), F.col("t.times").alias("times")
-    )
-    exact = model.segments.select("words", "word_counts").mapInArrow(_rare_rows(model.least_frequent), "word long, c long")
-    met = rare.join(exact, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    total = model.tokens + ADD * (model.kinds + 1)
-    more = met.groupBy("uid").agg(
-        F.sum(F.col("times") * F.log10((F.col("c") + ADD) / total)).alias("_base"),
-        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("_known"),
-    )
-    whole = scored.drop("rare", "times").join(_model_scores(model, slices, prior), "uid").join(more, "uid", "left")
-    return whole.select(
+    totals = Totals(model.tokens, model.kinds, prior, model.bits, model.bounds)
+    first = spark.sparkContext.broadcast(tuple(model.filter_of(0)))
+    numbered = rows.withColumn("uid", F.monotonically_increasing_id())
+    path = new_path(spark, "lm-prepared")
+    numbered.mapInArrow(_prepared(first, totals), PREPARED_DDL).write.partitionBy("part").parquet(path)
+    prepared = spark.read.schema(PREPARED_DDL).parquet(path)
+    found = prepared.where(F.col("part") == DOCUMENT)
+    if len(model.bounds) > 2:
+        scores = _slice_scores(prepared, model, totals)
+        found = found.select("doc_id", "held_out", "uid", "n_tokens").join(scores, "uid")
+    return found.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
+        F.col("known").alias("n_known"),
         F.lit(int(model.tokens)).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("_base", F.lit(0.0))).alias("base_score"),
+        F.col("base").alias("base_score"),
         "score",
     )
