@@ -98,6 +98,22 @@ def test_near_duplicates_of_every_kind(spark):
     assert near_dup.near_duplicates(docs.limit(0)).count() == 0 == near_dup.deduplicate(docs.limit(0)).count()
 
 
+def test_far_copies_meet_through_differences(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "LEADERS", 1)  # leaves most to the differences
+    rng = random.Random(3)
+    rows = []
+    for family in range(2):
+        base = [f"f{family}w{rng.randrange(300)}" for _ in range(90 + 40 * family)]
+        for _ in range(70):
+            words = base[: len(base) - rng.randrange(12)]
+            for _ in range(rng.randrange(1, 6)):
+                words[rng.randrange(len(words))] = f"e{rng.randrange(12)}"
+            rows.append((len(rows), " ".join(words)))
+    rng.shuffle(rows)
+    check_components(numbered(spark, rows), rows)
+    assert len(set(brute.near_components(rows).values())) > 3
+
+
 def test_near_duplicates_of_sample(spark):
     docs = spark.read.parquet(f"{SAMPLE}/documents.parquet").orderBy("doc_id").collect()
     rows = [(r["doc_id"], r["text"]) for r in docs]
@@ -145,33 +161,47 @@ def check_scores(rows, found):
     assert sorted(got) == sorted(want)
 
 
-def test_language_model(spark, documents, sample, monkeypatch):
-    monkeypatch.setattr(lm_scoring, "FREQUENT", 64)  # most words go through the join
+def test_language_model(spark, documents, sample):
     rows = [(r["doc_id"], r["text"]) for r in sample.select("doc_id", "text").collect()]
     found = lm_scoring.score(sample).collect()
     check_scores(rows, found)
     assert all(r["score"] <= 0 for r in found)
     assert sum(r["score"] for r in found if not r["held_out"]) > sum(r["base_score"] for r in found if not r["held_out"])
     odd = [(1, None), (2, ""), (None, "A b"), (3, "x " * 4000), (3, "x " * 4000), (4, "é É k k")]
-    check_scores(odd, lm_scoring.score(documents(odd).withColumns({"uid": F.lit(0), "rare": F.lit(1)})).collect())
+    check_scores(odd, lm_scoring.score(documents(odd).withColumns({"uid": F.lit(0), "part": F.lit(1), "slice": F.lit(2)})).collect())
     assert lm_scoring.score(documents([])).count() == 0
 
 
-def test_filter_keeps_its_bits_at_every_size(spark, sample, monkeypatch):
-    scores = lambda: {(r["doc_id"], r["n_tokens"]): r["score"] for r in lm_scoring.score(sample).collect()}
+def test_scores_do_not_depend_on_ranges_or_segments(spark, sample, monkeypatch):
+    scores = lambda: {(r["doc_id"], r["n_tokens"]): round(r["score"], 9) for r in lm_scoring.score(sample).collect()}
     want = scores()
-    monkeypatch.setattr(lm_scoring, "FILTER_BYTES", 2000, raising=False)  # nothing may depend on a bound of the whole filter
+    assert len(lm_scoring.fit(sample).bounds) == 2
+    monkeypatch.setattr(lm_scoring, "RANGE_BYTES", 20_000)
+    bounds = lm_scoring.fit(sample).bounds
+    assert len(bounds) > 4 and bounds[0] == 0 and bounds[-1] == 2**lm_scoring.SEGMENT_BITS
     assert scores() == want
-    for r in lm_scoring.fit(sample).segments.select("word_counts", "filter").collect():
+    model = lm_scoring.fit(sample)
+    parts = [model.filter_of(k) for k in range(len(bounds) - 1)]
+    assert all(len(p.data) + 16 * len(p.words) <= 20_000 + 8 * 2**lm_scoring.SEGMENT_BITS for p in parts)
+    for r in model.segments.select("word_counts", "filter").collect():
         counts = np.frombuffer(r["word_counts"], np.int64)
         assert len(r["filter"]) * 8 >= lm_scoring.BITS * lm_scoring._levels(counts).sum()
 
 
-def test_levels_in_small_batches(spark, sample):
+def test_more_segments_for_more_text(spark, sample, monkeypatch):
+    rows = [(r["doc_id"], r["text"]) for r in sample.select("doc_id", "text").collect()]
+    monkeypatch.setattr(lm_scoring, "SEGMENT_TEXT", 16)
+    assert lm_scoring.fit(sample).bits > lm_scoring.SEGMENT_BITS
+    monkeypatch.setattr(lm_scoring, "RANGE_BYTES", 30_000)
+    check_scores(rows, lm_scoring.score(sample).collect())
+
+
+def test_levels_in_small_batches(spark, sample, monkeypatch):
     want = {r["doc_id"]: r["score"] for r in lm_scoring.score(sample).collect()}
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
-    spark.conf.set(name, "700")
+    spark.conf.set(name, "7")
+    monkeypatch.setattr(lm_scoring, "RANGE_BYTES", 30_000)
     try:
         found = {r["doc_id"]: r["score"] for r in lm_scoring.score(sample).collect()}
     finally:
@@ -179,34 +209,52 @@ def test_levels_in_small_batches(spark, sample):
     assert found.keys() == want.keys() and all(abs(found[i] - want[i]) < 1e-6 for i in want)
 
 
-def test_pair_model_matches_plain_form(spark, sample):
-    rows = [(r["doc_id"], brute.lower(r["text"] or "").encode().split() + [b" "]) for r in sample.collect()]
+def plain_pair_model(rows):
+    """{doc_id: score} with exact counts, rounded as levels are."""
     pairs_of = lambda ws: list(zip([b" ", *ws[:-1]], ws))
     train = [ws for i, ws in rows if zlib.crc32(str(i).encode()) % 10]
     words, pairs = Counter(w for ws in train for w in ws), Counter(p for ws in train for p in pairs_of(ws))
     n = sum(words.values())
     read = lambda c: min((3 * 2 ** (c.bit_length() - 1) - 1) / 2, n) if c else 0.0
-    found = {r["doc_id"]: r["score"] for r in lm_scoring.score(sample).collect()}
+    found = {}
     for i, ws in rows:
-        want = 0.0
+        found[i] = 0.0
         for a, b in pairs_of(ws):
             context, share = read(words[a]), (read(words[b]) + lm_scoring.ADD) / (n + lm_scoring.ADD * (len(words) + 1))
-            want += math.log10((min(read(pairs[a, b]), context) + lm_scoring.PRIOR * share) / (context + lm_scoring.PRIOR))
-        # The filter takes few n-grams for more frequent ones.
-        assert abs(found[i] - want) < 0.06 * len(ws) + 4, (i, found[i], want)
+            found[i] += math.log10((min(read(pairs[a, b]), context) + lm_scoring.PRIOR * share) / (context + lm_scoring.PRIOR))
+    return found
+
+
+def test_pair_model_matches_plain_form(spark, sample, monkeypatch):
+    rows = [(r["doc_id"], brute.lower(r["text"] or "").encode().split() + [b" "]) for r in sample.collect()]
+    want = plain_pair_model(rows)
+    sizes = dict((i, len(ws)) for i, ws in rows)
+    # With 40 bits an entry hardly any n-gram is taken for a more frequent one; with 12 about one in 150 is.
+    for bits, off in ((40, 1e-4), (lm_scoring.BITS, 0.02)):
+        monkeypatch.setattr(lm_scoring, "BITS", bits)
+        found = {r["doc_id"]: r["score"] for r in lm_scoring.score(sample).collect()}
+        errors = {i: abs(found[i] - want[i]) / sizes[i] for i in want}
+        assert sum(abs(found[i] - want[i]) for i in want) / sum(sizes.values()) < off
+        assert sum(e > 5 * off for e in errors.values()) < len(errors) / 20
+
+
+def test_model_beats_words_alone_on_held_out_documents(spark):
+    found = lm_scoring.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out")
+    total = found.agg(*[F.sum(c).alias(c) for c in ("score", "base_score", "n_tokens")]).first()
+    assert total["score"] / total["n_tokens"] > total["base_score"] / total["n_tokens"] + 0.4
 
 
 def test_filter_reads_counts_back():
     rng = np.random.default_rng(4)
-    keys = np.unique(rng.integers(0, 2**48, 5000, dtype=np.uint64))
+    keys = lm_scoring.short(np.unique(rng.integers(0, 2**48, 5000, dtype=np.uint64)))
     counts = rng.geometric(0.2, len(keys))
     none = np.zeros(0, np.uint64)
     entries = lm_scoring._entries(counts, none.astype(np.int64))
     data = lm_scoring._filter_bytes(keys, counts, none, none.astype(np.int64), 12, entries)
-    own = lm_scoring._assembled([{"segment": 0, "filter": data.tobytes()}])
+    own = lm_scoring._assembled([{"segment": 0, "filter": data.tobytes(), "words": b"", "word_counts": b""}], lm_scoring.SEGMENT_BITS, 0, 1)
     levels = own.levels(keys, 1)
     assert (levels >= lm_scoring._levels(counts)).all() and (levels == lm_scoring._levels(counts)).mean() > 0.97
-    strange = rng.integers(0, 2**48, 5000, dtype=np.uint64)
+    strange = lm_scoring.short(rng.integers(0, 2**48, 5000, dtype=np.uint64))
     assert (own.levels(np.setdiff1d(strange, keys), 1) == 0).mean() > 0.97
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webgraph_spark.session import cut_lineage
+from webgraph_spark.session import cut_lineage, drop_tables
 
 
 def _towards_least(links: DataFrame, small: bool) -> DataFrame:
@@ -37,7 +37,8 @@ def components(links: DataFrame) -> DataFrame:
         if mark == before:
             break
         before = mark
-        links = cut_lineage(_towards_least(_towards_least(links, small=False), small=True), "links")
+        last, links = links, cut_lineage(_towards_least(_towards_least(links, small=False), small=True), "links")
+        drop_tables(last)
     ties = links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
     roots = links.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return ties.union(roots)

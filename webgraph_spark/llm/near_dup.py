@@ -6,10 +6,15 @@ Candidates are compared by their signatures in batches of ``BATCH`` values: afte
 posterior probability of a similarity of at least the threshold is below ``MISS``. Survivors are verified on full sets.
 
 A bucket never pairs with itself. First all members meet the bucket's smallest one, which settles most groups of copies in
-linear size. Then members meet a few leaders of their bucket that lie in other components, and components grow. Only what
-is still apart after that is paired further, in two ways that lose nothing together: through shingles that at most FEW open
-documents hold, and, for pairs without such a shingle in common, inside buckets where the shingles that more documents
-hold are enough. So edited copies of one text that are too far from each other are set aside by counts, not by pairs.
+linear size. Then members meet a few leaders of their bucket that lie in other components, and components grow. What is
+still apart is paired through differences. Classes that buckets hold together, directly or over others, share a reference
+for each range of sizes, and each class is described by what it has and the reference has not, or the other way round. Two
+sets are similar when these descriptions differ in at most a seventh of their sizes together. So a pair either has
+rare parts of its descriptions in common, at places that still allow enough common parts after them, and is met there; or
+both lie so near the reference that comparing each class with the reference links them. Edited copies of one text that
+have their edits in different places therefore never meet.
+
+Texts of any length are read whole. Only doc_id and text are read, so other columns may have any names.
 """
 
 from __future__ import annotations
@@ -21,12 +26,13 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webgraph_spark.llm import hashing
+from webgraph_spark.llm.common import same
 from webgraph_spark.llm.components import components
-from webgraph_spark.session import cut_lineage
+from webgraph_spark.session import cut_lineage, drop_tables
 
 SHINGLE = 5
 PERCENT = 75
@@ -36,11 +42,10 @@ SKETCH = 128  # signature values that are compared, 16 bits of each
 BATCH = 16
 MISS = 1e-6
 LEADERS = 4  # of a bucket
-FEW = 8  # open documents that hold a shingle through which pairs are formed
 BITS = 2**23  # of the filter in front of the second reading; its size is fixed
 COLUMNS = 1024  # shingles hashed at once, so that the block stays in cache
 
-PRINT = "uid long, doc_id long, n_shingles long, high long, low long, bands array<long>, sketch binary"
+PRINT = "uid long, doc_id long, text_a long, text_b long, n_shingles long, high long, low long, bands array<long>, sketch binary"
 
 
 def shingle_sets(texts: list[list[bytes]]) -> Iterator[np.ndarray]:
@@ -119,15 +124,14 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(first, len(texts))
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("uid"),
-                    part.column("doc_id"),
+                    *[part.column(name) for name in ("uid", "doc_id", "text_a", "text_b")],
                     pa.array(sizes, pa.int64()),
                     pa.array(highs, pa.int64()),
                     pa.array(lows, pa.int64()),
                     pa.array(bands, pa.list_(pa.int64())),
                     pa.array(sketches, pa.binary()),
                 ],
-                ["uid", "doc_id", "n_shingles", "high", "low", "bands", "sketch"],
+                ["uid", "doc_id", "text_a", "text_b", "n_shingles", "high", "low", "bands", "sketch"],
             )
 
 
@@ -264,66 +268,76 @@ def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
     old = found.join(renamed, "component", "left")
     old = old.select("id", F.coalesce("_new", "component").alias("component"))
     new = joined.join(found.select("id"), "id", "left_anti").select("id", "component")
-    return cut_lineage(old.union(new), "neardup-components")
-
-
-def _single_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for rep, data in zip(batch.column("rep"), batch.column("shingles")):
-            shingles = np.frombuffer(data.as_py(), np.int64)
-            columns = [pa.array(np.full(len(shingles), rep.as_py(), np.int64)), pa.array(shingles)]
-            yield pa.RecordBatch.from_arrays(columns, ["rep", "shingle"])
-
-
-def _postings(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """(shingle, rep, n, component) of the open classes for shingles that at most FEW of them hold."""
-    classes = rows.select("rep", "n", "component").distinct()
-    single = sets.join(classes.select("rep"), "rep", "left_semi").mapInArrow(_single_shingles, "rep long, shingle long")
-    single = cut_lineage(single, "neardup-shingles")
-    few = single.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") <= FEW)
-    return cut_lineage(single.join(few.drop("_n"), "shingle", "left_semi").join(classes, "rep"), "neardup-postings")
-
-
-def _with_shared(rows: DataFrame, postings: DataFrame) -> DataFrame:
-    """Adds shared: how many shingles of the row's class more than FEW open classes hold."""
-    counts = postings.groupBy("rep").agg(F.count(F.lit(1)).alias("_few"))
-    return rows.join(counts, "rep", "left").withColumn("shared", F.col("n") - F.coalesce("_few", F.lit(0))).drop("_few")
-
-
-def _posting_pairs(postings: DataFrame) -> DataFrame:
-    """Pairs of classes in different components with a shingle of FEW classes in common."""
-    other = postings.select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "component")])
-    met = postings.join(other, "shingle").where(
-        (F.col("rep") < F.col("x_rep")) & (F.col("component") != F.col("x_component")) & fitting(F.col("n"), F.col("x_n"))
-    )
-    return met.select(F.col("rep").alias("a"), F.col("x_rep").alias("b")).distinct()
-
-
-def _possible(other: str) -> Column:
-    """Whether the row and the ``other`` one can be similar without a shingle of FEW classes in common."""
-    most = F.least(F.col("shared"), F.col(f"{other}_shared"))
-    return fitting(F.col("n"), F.col(f"{other}_n")) & (most * 100 >= (F.col("n") + F.col(f"{other}_n") - most) * PERCENT)
+    merged = cut_lineage(old.union(new), "neardup-components")
+    drop_tables(found, joined)
+    return merged
 
 
 def _leader_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of every member with LEADERS members of its bucket, where these lie in another component."""
-    names = ["rep", "n", "shared", "component"]
+    names = ["rep", "n", "component"]
     one = F.struct(*[F.col(c).alias("lead" if c == "rep" else f"lead_{c}") for c in names])
     chosen = [F.min_by(one, F.xxhash64("rep", F.lit(i))).alias(f"_{i}") for i in range(LEADERS)]
     leads = rows.groupBy("band").agg(*chosen)
     leads = leads.select("band", F.explode(F.array_distinct(F.array(*[f"_{i}" for i in range(LEADERS)]))).alias("l")).select("band", "l.*")
-    met = rows.join(leads, "band").where((F.col("component") != F.col("lead_component")) & _possible("lead"))
+    apart = (F.col("component") != F.col("lead_component")) & fitting(F.col("n"), F.col("lead_n"))
+    met = rows.join(leads, "band").where(apart)
     return met.select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct()
 
 
-def _apart_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of members of one bucket in different components, as far as shared shingles can be enough."""
-    sizes = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("_size"))
-    main = sizes.groupBy("band").agg(F.max_by("component", F.struct("_size", "component")).alias("_main"))
-    apart = rows.join(main, "band").where(F.col("component") != F.col("_main")).drop("_main")
-    other = rows.select("band", *[F.col(c).alias("x" if c == "rep" else f"x_{c}") for c in ("rep", "n", "shared", "component")])
-    met = apart.join(other, "band").where((F.col("component") != F.col("x_component")) & _possible("x"))
-    return met.select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct()
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(crowd, rep, size, part): a row for each shingle that only one of class and reference has."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            own, other = (np.frombuffer(batch.column(c)[row].as_py(), np.int64) for c in ("shingles", "reference"))
+            parts = np.setxor1d(own, other, assume_unique=True)
+            same_row = pa.array(np.full(len(parts), row))
+            columns = [batch.column(name).take(same_row) for name in ("crowd", "rep")]
+            columns += [pa.array(np.full(len(parts), len(parts), np.int32)), pa.array(parts)]
+            yield pa.RecordBatch.from_arrays(columns, ["crowd", "rep", "size", "part"])
+
+
+def _clustered(rows: DataFrame) -> DataFrame:
+    """(rep, n, component, cluster, step) of the open classes; cluster: those that buckets hold together.
+
+    A class has the step of its size and the one below, so classes of fitting sizes share one.
+    """
+    ties = rows.join(rows.groupBy("band").agg(F.min("rep").alias("_least")), "band").select(F.col("rep").alias("a"), F.col("_least").alias("b"))
+    clusters = cut_lineage(components(ties), "neardup-clusters").withColumnsRenamed({"id": "rep", "component": "cluster"})
+    classes = rows.select("rep", "n", "component").distinct().join(clusters, "rep")
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / PERCENT)) + 1e-9)
+    return classes.withColumn("step", F.explode(F.array(step, step - 1)))
+
+
+def _difference_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of open classes in different components that can be similar, and those of each class with its references."""
+    crowd = F.xxhash64("cluster", "step").alias("crowd")
+    classes = cut_lineage(_clustered(rows).select(crowd, "rep", "n", "component"), "neardup-crowds")
+    references = classes.groupBy("crowd").agg(F.min(F.struct("rep", "n", "component")).alias("r"), F.count(F.lit(1)).alias("_members"))
+    references = cut_lineage(references.where("_members > 1").select("crowd", "r.*"), "neardup-references")
+    reference_sets = references.select("crowd", "rep").join(sets, "rep").select("crowd", F.col("shingles").alias("reference"))
+    described = classes.select("crowd", "rep").join(sets, "rep").join(reference_sets, "crowd")
+    parts = cut_lineage(described.mapInArrow(_differences, "crowd long, rep long, size int, part long"), "neardup-differences")
+    # What only one class has joins nothing; it only counts among the rarest parts, which come first.
+    held = parts.groupBy("crowd", "part").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    whole = Window.partitionBy("crowd", "rep")
+    single = F.col("size") - F.count(F.lit(1)).over(whole)
+    placed = parts.join(held, ["crowd", "part"]).withColumn("place", single + F.row_number().over(whole.orderBy("holders", "part")) - 1)
+    # A similar pair differs in at most n / 3 parts, so the first common one is not farther.
+    placed = placed.drop("holders").join(classes, ["crowd", "rep"]).where(F.col("place") * 3 <= F.col("n"))
+    placed = cut_lineage(placed, "neardup-places")
+    drop_tables(parts)
+    other = placed.select("crowd", "part", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "component", "size", "place")])
+    left = F.least(F.col("size") - F.col("place"), F.col("x_size") - F.col("x_place"))
+    enough = left * 14 >= (F.col("size") + F.col("x_size")) * 7 - F.col("n") - F.col("x_n")
+    met = placed.join(other, ["crowd", "part"]).where(
+        (F.col("rep") < F.col("x_rep")) & (F.col("component") != F.col("x_component")) & fitting(F.col("n"), F.col("x_n")) & enough
+    )
+    near = classes.join(references.withColumnsRenamed({c: f"x_{c}" for c in ("rep", "n", "component")}), "crowd").where(
+        (F.col("component") != F.col("x_component")) & fitting(F.col("n"), F.col("x_n"))
+    )
+    near = near.select("rep", "x_rep").union(met.select("rep", "x_rep"))
+    return near.select(F.least("rep", "x_rep").alias("a"), F.greatest("rep", "x_rep").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, uid: str | None = None) -> DataFrame:
@@ -337,11 +351,20 @@ def near_duplicates(docs: DataFrame, uid: str | None = None) -> DataFrame:
     rows are numbered here.
     """
     number = F.monotonically_increasing_id() if uid is None else F.col(uid)
-    rows = docs.select(number.alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    prints = cut_lineage(rows.mapInArrow(_prints, PRINT), "neardup-prints")
-    full = prints.where("n_shingles > 0")
+    marks = _marked(docs.select(number.alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text", *_text_keys()))
+    return marks.select("uid", "doc_id", "n_shingles", "component_id", "kept", "first")
+
+
+def _text_keys() -> list[Column]:
+    """128 bits that tell texts apart."""
+    return [F.xxhash64("text").alias("text_a"), F.xxhash64(F.lit("b"), "text").alias("text_b")]
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` of docs (uid, doc_id, text, text_a, text_b), and the keys of the texts."""
+    wide = cut_lineage(docs.mapInArrow(_prints, PRINT), "neardup-prints")
     # A set has one signature, so any row of the class has the right one.
-    reps = full.groupBy("high", "low").agg(
+    reps = wide.where("n_shingles > 0").groupBy("high", "low").agg(
         F.min("uid").alias("rep"),
         F.min("doc_id").alias("doc_id"),
         F.first("n_shingles").alias("n"),
@@ -349,6 +372,8 @@ def near_duplicates(docs: DataFrame, uid: str | None = None) -> DataFrame:
         F.first("sketch").alias("sketch"),
     )
     reps = cut_lineage(reps, "neardup-classes")
+    prints = cut_lineage(wide.drop("bands", "sketch"), "neardup-rows")
+    drop_tables(wide)
     banded = reps.select("rep", "n", F.explode("bands").alias("band"))
     leads = (
         banded.groupBy("band")
@@ -364,45 +389,55 @@ def near_duplicates(docs: DataFrame, uid: str | None = None) -> DataFrame:
     ids = survivors.select(F.col("a").alias("rep")).union(survivors.select(F.col("b").alias("rep"))).distinct()
     classes = reps.select("rep", "doc_id", "high", "low")
     wanted = cut_lineage(classes.join(ids, "rep", "left_semi"), "neardup-wanted")
-    sets = cut_lineage(_sets_of(docs, wanted), "neardup-sets")
-    links = _links(survivors, sets)
+    first_sets = cut_lineage(_sets_of(docs, wanted), "neardup-sets")
+    links = _links(survivors, first_sets)
     found = cut_lineage(components(links), "neardup-components")
+    drop_tables(survivors, links)
 
     rows = cut_lineage(_open(_placed(members.select("band", "rep", "n"), found)), "neardup-open")
+    drop_tables(members)
     more = rows.select("rep").distinct().join(wanted.select("rep"), "rep", "left_anti")
     more = cut_lineage(classes.join(more, "rep", "left_semi"), "neardup-wanted")
-    if not more.isEmpty():
-        sets = sets.union(cut_lineage(_sets_of(docs, more), "neardup-sets"))
+    more_sets = cut_lineage(_sets_of(docs, more), "neardup-sets")
+    sets = first_sets.union(more_sets)
     if not rows.isEmpty():
-        postings = _postings(rows, sets)
-        rows = _with_shared(rows, postings)
         led = cut_lineage(_leader_pairs(rows).join(stars, ["a", "b"], "left_anti"), "neardup-pairs")
         found = _merged(found, _links(_survivors(reps, led), sets))
-        rows = cut_lineage(_open(_placed(rows.drop("component"), found)), "neardup-open")
-        postings = _placed(postings.drop("component"), found)
-        pairs = _apart_pairs(rows).union(_posting_pairs(postings)).distinct()
-        pairs = pairs.join(stars.union(led), ["a", "b"], "left_anti")  # none is compared twice
+        still = cut_lineage(_open(_placed(rows.drop("component"), found)), "neardup-open")
+        drop_tables(rows)
+        pairs = _difference_pairs(still, sets).join(stars.union(led), ["a", "b"], "left_anti")  # none is compared twice
         found = _merged(found, _links(_survivors(reps, cut_lineage(pairs, "neardup-pairs")), sets))
 
-    labelled = reps.select("rep", "doc_id", "high", "low").join(found.withColumnRenamed("id", "rep"), "rep", "left")
+    labelled = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left")
     labelled = cut_lineage(labelled.withColumn("component", F.coalesce("component", "rep")), "neardup-labels")
+    drop_tables(reps, stars, wanted, more, first_sets, more_sets, found)
     least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named_classes = cut_lineage(labelled.join(least, "component").select("high", "low", "component", "component_id"), "neardup-named")
+    drop_tables(labelled)
     own = F.col("n_shingles") == 0
-    named = prints.select("uid", "doc_id", "n_shingles", "high", "low").join(named_classes, ["high", "low"], "left")
+    named = prints.join(named_classes, ["high", "low"], "left")
     named = named.withColumn("component_id", F.when(own, F.col("doc_id")).otherwise(F.col("component_id")))
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
     firsts = named.where(kept & ~own).groupBy("component").agg(F.min("uid").alias("uid")).select("uid", F.lit(True).alias("_first"))
     marked = named.join(firsts, "uid", "left")
-    return marked.select(
-        "uid", "doc_id", "n_shingles", "component_id", kept.alias("kept"), (own | F.coalesce("_first", F.lit(False))).alias("first")
-    )
+    first = own | F.coalesce("_first", F.lit(False))
+    return marked.select("uid", "doc_id", "text_a", "text_b", "n_shingles", "component_id", kept.alias("kept"), first.alias("first"))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with one of each component, the one of the smallest id; same columns."""
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.monotonically_increasing_id().alias("_uid"))
-    rows = cut_lineage(rows, "neardup-rows")
-    marked = near_duplicates(rows.select("_uid", "_row.doc_id", "_row.text"), "_uid")
-    dropped = marked.where(~F.col("first")).select(F.col("uid").alias("_uid"))
-    return rows.join(dropped, "_uid", "left_anti").select("_row.*")
+    """The rows of ``docs`` with one of each component, one of the smallest id; same columns.
+
+    Rows are told apart by id and text, so no numbered copy of them is needed. Of rows that have both in common with the one
+    that stays, the one with the least checksum of all columns does.
+    """
+    marks = _marked(docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text", *_text_keys()))
+    key = ["doc_id", "text_a", "text_b"]
+    kinds = marks.where("n_shingles > 0").groupBy(*key).agg(F.max("first").alias("stays"), F.count(F.lit(1)).alias("copies"))
+    # Most rows stay and are alone; only the others are looked up.
+    kinds = cut_lineage(kinds.where("not stays or copies > 1").select(*key, "stays"), "neardup-dropped")
+    row = F.struct(*[docs[c] for c in docs.columns])
+    keyed = docs.select(row.alias("_row"), docs["doc_id"].cast("long").alias("doc_id"), *_text_keys())
+    told = same(keyed, kinds, key)
+    alone = told.where(F.col("stays").isNull()).select("_row.*")
+    repeated = told.where("stays").groupBy(*key).agg(F.min_by("_row", F.xxhash64(*[F.col(f"_row.{c}") for c in docs.columns])).alias("_row"))
+    return alone.unionByName(repeated.select("_row.*"))
