@@ -6,7 +6,7 @@ from webgraph_spark.operators import ordering, skew
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 def test_spread_join_equals_plain_join(spark, how):
-    spread_form = {"hot_rows": 100, "lookup_rows": 0}
+    spread_form = {"hot_rows": 100, "lookup_bytes": 0}
     key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") % 50)
     big = spark.range(3000).withColumn("key", key)
     lookup = spark.range(0, 60, 2).select(F.col("id").cast("int").alias("key"), F.lit("x").alias("value"))

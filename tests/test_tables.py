@@ -1,6 +1,7 @@
 import datetime as dt
 import glob
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -161,3 +162,18 @@ def test_row_caps_and_times_of_a_round(spark):
     assert [(r.page_id, r.wait) for r in found] == [(1, 7.0), (3, 6.0)]
     newer = sites.withColumn("last_crawled_at", F.lit(T0 + dt.timedelta(days=1)).cast("timestamp_ntz"))
     assert crawl.update_sites(newer, fetches).first().last_crawled_at == T0 + dt.timedelta(days=1)
+
+
+def test_schedule_equals_sequential_form(spark, many_ranges):
+    rng = random.Random(4)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, rng.choice([1, 1, 1, 2, 3]), t0 + dt.timedelta(microseconds=rng.randrange(400_000_000))) for i in range(600)]
+    fetches = spark.createDataFrame(rows, "page_id bigint, site_id bigint, accessed_time timestamp_ntz")
+    delays = spark.createDataFrame([(1, 2), (2, None)], "site_id bigint, crawl_delay int")
+    found = {r.page_id: r.wait for r in politeness.politeness_schedule(fetches, delays).collect()}
+    last, want = {}, {}
+    for page, site, at in sorted(rows, key=lambda r: (r[1], r[2], r[0])):
+        delay = dt.timedelta(seconds={1: 2}.get(site, 0))
+        start = max(at, last[site] + delay) if site in last else at
+        last[site], want[page] = start, (start - at) // dt.timedelta(microseconds=1)
+    assert found == want and max(want.values()) > 0

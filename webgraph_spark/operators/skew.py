@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A key is hot when it holds at least HOT_ROWS rows and one in HOT_SHARE of all rows, so there are
@@ -15,8 +15,6 @@ HOT_SHARE = 65_536
 HOT_ROWS = 100_000
 # Parts that rows without a key are spread over.
 NULL_PARTS = 1024
-# A lookup of at most so many rows, counted, goes to every task instead.
-LOOKUP_ROWS = 10_000
 
 
 def key_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -32,6 +30,16 @@ def hot_keys(counts: DataFrame, key: Sequence[str], rows: str = "_rows", hot_row
     return hot.select(*key, F.ceil(F.col(rows) * 2 / most).cast("int").alias("_parts"))
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """What the optimiser takes ``df`` to hold at most; nothing is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_bytes(spark: SparkSession) -> int:
+    """The size up to which the optimiser broadcasts a table."""
+    return max(0, int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()))
+
+
 def spread_join(
     big: DataFrame,
     lookup: DataFrame,
@@ -41,19 +49,20 @@ def spread_join(
     counts: DataFrame | None = None,
     rows: str = "_rows",
     hot_rows: int = HOT_ROWS,
-    lookup_rows: int = LOOKUP_ROWS,
+    lookup_bytes: int | None = None,
 ) -> DataFrame:
     """``big.join(lookup, key, how)`` for how in inner, left, left_semi, left_anti.
 
     Rows of a hot key are spread by a hash of ``row_id`` over several parts and
     the lookup rows of that key are repeated once per part; all other keys
-    take part in the same join with one part. Without a hot key it is the plain join; a lookup of at most
-    ``lookup_rows`` rows, counted when the plan is made, is broadcast. Finding hot keys counts ``big`` by
-    key when the plan is made; ``counts`` (key, ``rows``) saves that pass where the caller has the numbers already.
+    take part in the same join with one part. Without a hot key it is the plain join. So it is for a lookup that the optimiser
+    puts at no more than ``lookup_bytes`` (by default what it broadcasts): no key is hot then. Finding hot keys counts
+    ``big`` by key when the plan is made; ``counts`` (key, ``rows``) saves that pass where the caller has the numbers already.
     """
     key = list(key)
-    if lookup.limit(lookup_rows + 1).count() <= lookup_rows:
-        return big.join(F.broadcast(lookup), key, how)
+    enough = broadcast_bytes(big.sparkSession) if lookup_bytes is None else lookup_bytes
+    if planned_bytes(lookup) <= enough:
+        return big.join(lookup, key, how)
     found = hot_keys(key_counts(big, key) if counts is None else counts, key, rows, hot_rows)
     listed = found.collect()
     if not listed:

@@ -490,6 +490,15 @@ def politeness_audit(spark, sf):
     return politeness.politeness_audit(views.fetch_log(spark, sf), views.delays(spark, sf)).drop("accessed_time", "last_crawled_at")
 
 
+@query(
+    """SELECT page_id, site_id, (max(at - i * delay) OVER (PARTITION BY site_id ORDER BY i) + i * delay - at)::BIGINT AS wait
+    FROM (SELECT event_id AS page_id, user_id AS site_id, epoch_us(ts) AS at, user_id % 4 * 3600000000 AS delay,
+        row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events)"""
+)
+def politeness_schedule(spark, sf):
+    return politeness.politeness_schedule(views.fetch_log(spark, sf), views.delays(spark, sf))
+
+
 BUDGET_LIMIT = 400_000
 
 
@@ -555,7 +564,7 @@ def spread_lookup(spark, sf):
     key = F.when(F.col("l_linenumber") % 3 == 0, F.lit(1).cast("long")).otherwise(F.col("l_suppkey"))
     rows = views.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", key.alias("s_suppkey"))
     names = views.table(spark, sf, "supplier").select("s_suppkey", "s_name")
-    joined = spread_join(rows, names, ["s_suppkey"], "left", ["l_orderkey", "l_linenumber"], hot_rows=2000, lookup_rows=0)
+    joined = spread_join(rows, names, ["s_suppkey"], "left", ["l_orderkey", "l_linenumber"], hot_rows=2000, lookup_bytes=0)
     return joined.select("l_orderkey", "l_linenumber", "s_name")
 
 
