@@ -491,8 +491,8 @@ def politeness_audit(spark, sf):
 
 
 @query(
-    """SELECT page_id, site_id, (max(at - i * delay) OVER (PARTITION BY site_id ORDER BY i) + i * delay - at)::BIGINT AS wait
-    FROM (SELECT event_id AS page_id, user_id AS site_id, epoch_us(ts) AS at, user_id % 4 * 3600000000 AS delay,
+    """SELECT page_id, site_id, (max(t - i * delay) OVER (PARTITION BY site_id ORDER BY i) + i * delay - t)::BIGINT AS wait
+    FROM (SELECT event_id AS page_id, user_id AS site_id, epoch_us(ts) AS t, user_id % 4 * 3600000000 AS delay,
         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events)"""
 )
 def politeness_schedule(spark, sf):
