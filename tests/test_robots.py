@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from webgraph_spark.operators import robots
 
@@ -56,3 +57,15 @@ def test_numbers_too_large_are_unknown(spark):
     sites = spark.createDataFrame([(1, "User-agent: *\nRequest-rate: 99999999999/1\nDisallow: /a")], "site_id long, robots_content string")
     rate = robots.robots_rules(sites).first().request_rate
     assert rate.requests is None and rate.seconds == 1
+
+
+def test_very_many_rules_on_one_site(spark):
+    lines = ["User-agent: *"] + [f"{('Disallow', 'Allow')[i % 2]}: /d{i % 50_000}/{'x' * (i % 7)}" for i in range(50_000)]
+    sites = spark.createDataFrame([(1, chr(10).join(lines)), (2, "User-agent: *" + chr(10) + "Disallow: *")], "site_id bigint, robots_content string")
+    rules = robots.robots_rules(sites)
+    rows = [(1, f"http://h/d{i}/{'x' * 9}") for i in range(0, 50_000, 97)] + [(1, "http://h/none"), (2, "http://h/a"), (None, "http://h/b"), (3, "http://h/c")]
+    targets = spark.createDataFrame(rows, "site_id bigint, url string")
+    found = {(r.site_id, r.url): r.allowed for r in robots.robots_decision(targets, rules).collect()}
+    want = {(1, f"http://h/d{i}/{'x' * 9}"): i % 2 == 1 for i in range(0, 50_000, 97)}
+    assert found == {**want, (1, "http://h/none"): True, (2, "http://h/a"): True, (None, "http://h/b"): True, (3, "http://h/c"): True}
+    assert max(r.n for r in robots.prefix_index(rules).groupBy(F.length("prefix")).agg(F.count(F.lit(1)).alias("n")).collect()) > 5000

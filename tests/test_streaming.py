@@ -1,10 +1,11 @@
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
 from webgraph_spark.operators import duplicates
 from webgraph_spark.session import new_path
-from webgraph_spark.streaming import fetches
+from webgraph_spark.streaming import fetches, near_index
 
 DOCS = "/root/testdata/sf0.001/documents.parquet"
 
@@ -52,3 +53,52 @@ def test_dedup_within_watermark(spark):
     query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", new_path(spark, "state"))
     query.trigger(availableNow=True).start().awaitTermination()
     assert sorted(r.hash_content for r in spark.read.parquet(path).collect()) == ["h0", "h1", "h2"]
+
+
+def test_a_batch_reads_only_its_buckets(spark, monkeypatch):
+    monkeypatch.setattr(near_index, "BUCKETS", 64)
+    store = new_path(spark, "store")
+    for number in range(4):
+        ids = range(number * 40, number * 40 + 40)
+        words = [[f"w{i * 7 % 997}x{j}" for j in range(30)] for i in ids]
+        texts = spark.createDataFrame([(i, i, " ".join(w)) for i, w in zip(ids, words)], "id bigint, ord bigint, text string")
+        sigs = duplicates.text_signatures(texts, 3)
+        near_index.store_batch(store, number, sigs, texts.withColumn("hash_content", F.sha2("text", 256)))
+    new = spark.createDataFrame([(999, 999, " ".join(f"w{50 * 7 % 997}x{j}" for j in range(29)))], "id bigint, ord bigint, text string")
+    own = duplicates.text_signatures(new, 3)
+    asked = near_index.probes(own, near_index.stored(spark, store, "frequent", 4), 0.9).select("shingle").distinct()
+    assert asked.count() == 27 - 25 + 1
+    rows = near_index.stored(spark, store, "postings", 4, asked)
+    files = [r[0] for r in rows.select(F.input_file_name()).distinct().collect()]
+    wanted = {r[0] for r in asked.select(near_index.bucket("shingle")).collect()}
+    assert files and {int(f.split("bucket=")[1].split("/")[0]) for f in files} <= wanted and len(wanted) <= 3
+    assert {r.id for r in near_index.counting(spark, store, 4, own, 0.9).collect()} == {50}
+    # A batch that runs again does not see itself.
+    assert {r.id for r in near_index.counting(spark, store, 1, own, 0.9).collect()} == set()
+
+
+def test_state_outlives_a_restart_and_is_evicted(spark):
+    fetches.durable_state(spark)
+    arriving, path, state = (new_path(spark, name) for name in ("arriving", "unique", "state"))
+    t0 = dt.datetime(2024, 1, 1)
+    # The second a is within the delay; c moves the watermark on, so the last a and b come after what was known of them is gone.
+    for hours in ([("a", 0)], [("a", 1), ("b", 1)], [("c", 40)], [("a", 50), ("b", 50)]):
+        rows = [(name, t0 + dt.timedelta(hours=h)) for name, h in hours]
+        frame = spark.createDataFrame(rows, "hash_content string, at timestamp")
+        frame.coalesce(1).write.mode("append").parquet(arriving)
+        stream = fetches.stream_exact_dedup(fetches.fetch_stream(spark, arriving, frame.schema), "at", "3 hours")
+        fetches.run_rows(stream, path, state)  # a new query each time, from the same checkpoint
+    found = sorted((r.hash_content, (r.at - t0).total_seconds() / 3600) for r in spark.read.parquet(path).collect())
+    assert found == [("a", 0), ("a", 50), ("b", 1), ("b", 50), ("c", 40)]
+
+
+def test_batches_leave_no_work_tables(spark):
+    texts = spark.createDataFrame([(i, i, f"text number {i % 3} of many") for i in range(9)], "id bigint, ord bigint, text string")
+    arriving, store = new_path(spark, "arriving"), new_path(spark, "store")
+    texts.write.parquet(arriving)
+    base = os.path.dirname(store)
+    fetches.stream_near_dup(fetches.fetch_stream(spark, arriving, texts.schema), store, new_path(spark, "state"), k=2).awaitTermination()
+    before = set(os.listdir(base))
+    texts.withColumn("id", F.col("id") + 100).write.mode("append").parquet(arriving)
+    fetches.stream_near_dup(fetches.fetch_stream(spark, arriving, texts.schema), store, new_path(spark, "state"), k=2).awaitTermination()
+    assert {name.rsplit("-", 1)[0] for name in set(os.listdir(base)) - before} <= {"state"}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from webgraph_spark.functions import urls
 from webgraph_spark.operators.skew import spread_join
+from webgraph_spark.session import cut_lineage
 
 # Fixed value: line breaks of a robots text.
 LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
@@ -142,14 +143,30 @@ def robots_request_rate(rules: DataFrame, agent: str = "*") -> DataFrame:
     return group_for_agent(rules, agent).select("site_id", "request_rate")
 
 
+def prefix_index(rules: DataFrame, agent: str = "*") -> DataFrame:
+    """(site_id, prefix, first): per prefix the lowest rule number and what it says; ``*`` is the empty prefix."""
+    chosen = group_for_agent(rules, agent).select("site_id", F.posexplode("rules").alias("rule_no", "rule"))
+    prefix = F.when(F.col("rule.path") == "*", "").otherwise(F.col("rule.path"))
+    first = F.min(F.struct("rule_no", F.col("rule.allow").alias("allow"))).alias("first")
+    return chosen.where(prefix.isNotNull()).groupBy("site_id", prefix.alias("prefix")).agg(first)
+
+
 def robots_decision(targets: DataFrame, rules: DataFrame, agent: str = "*") -> DataFrame:
     """Adds ``allowed`` to targets (site_id, url, ...): the first rule that is a prefix decides.
 
-    An equi-join on the site, not a join on prefixes; sites with very many
-    targets are spread.
+    Each path asks the index only for the prefix lengths its site has rules of, by equality, and the lowest rule number
+    found decides. So a site with very many rules costs a path as many probes as it has lengths, and no row holds all of
+    them. A path that occurs often is decided once; sites with very many paths are spread.
     """
-    chosen = group_for_agent(rules, agent).select("site_id", F.col("rules").alias("_rules"))
-    joined = spread_join(targets, chosen, ["site_id"], "left", ["url"]).withColumn("_path", urls.robots_path(F.col("url")))
-    matching = F.filter("_rules", lambda r: (r["path"] == "*") | F.col("_path").startswith(r["path"]))
-    allowed = F.coalesce(F.try_element_at(matching, F.lit(1))["allow"], F.lit(True))
-    return joined.withColumn("allowed", allowed).drop("_rules", "_path")
+    index = cut_lineage(prefix_index(rules, agent), "robots")
+    lengths = index.groupBy("site_id").agg(F.collect_set(F.length("prefix")).alias("_lengths"))
+    located = targets.withColumn("_path", urls.robots_path(F.col("url")))
+    paths = located.where(F.col("site_id").isNotNull()).select("site_id", "_path").distinct()
+    fitting = spread_join(paths, lengths, ["site_id"], "inner", ["_path"]).select(
+        "site_id", "_path", F.explode(F.filter("_lengths", lambda n: n <= F.length("_path"))).alias("_n")
+    )
+    probes = fitting.select("site_id", "_path", F.expr("substring(_path, 1, _n)").alias("prefix"))
+    found = spread_join(probes, index, ["site_id", "prefix"], "inner", ["_path"])
+    decided = found.groupBy("site_id", "_path").agg(F.min("first").alias("_first"))
+    joined = located.join(decided.select("site_id", "_path", F.col("_first.allow").alias("_allow")), ["site_id", "_path"], "left")
+    return joined.withColumn("allowed", F.coalesce("_allow", F.lit(True))).select(*targets.columns, "allowed")

@@ -755,8 +755,41 @@ def sitemap_list(spark, sf):
 # --- streaming --------------------------------------------------------------
 
 
-@query("SELECT sha256(props) AS hash_content, min(event_id) AS first_id, count(*)::BIGINT AS copies FROM events GROUP BY 1")
+def _arriving(rows: DataFrame, order: str, parts: int):
+    """A folder, and steps that each add the next part of ``rows`` to it as one more file or set of files."""
+    spark = rows.sparkSession
+    bounds = rows.approxQuantile(order, [k / parts for k in range(1, parts)], 0.01)
+    path = new_path(spark, "arriving")
+
+    def step(low, high):
+        inside = F.lit(True) if low is None else F.col(order) > low
+        part = rows.where(inside if high is None else inside & (F.col(order) <= high))
+        return lambda: part.write.mode("append").parquet(path)
+
+    return path, [step(low, high) for low, high in zip([None, *bounds], [*bounds, None])]
+
+
+@query("SELECT sha256(props) AS hash_content, any_value(props) AS html_content, 1::BIGINT AS times FROM events GROUP BY 1")
 def stream_exact_dedup(spark, sf):
+    """Several batches, and a restart from the checkpoint between them."""
+    fetches.durable_state(spark)
+    rows = views.table(spark, sf, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("at"), F.col("props").alias("html_content")
+    )
+    folder, steps = _arriving(rows.withColumn("hash_content", shingles.content_hash(F.col("html_content"))), "event_id", 4)
+    path, state = new_path(spark, "unique"), new_path(spark, "unique-state")
+    for add in steps:
+        add()
+        schema = "event_id bigint, at timestamp, html_content string, hash_content string"
+        # All of the log lies within the delay, so nothing is forgotten.
+        stream = fetches.stream_exact_dedup(fetches.fetch_stream(spark, folder, schema), "at", "36500 days")
+        fetches.run_rows(stream.select("hash_content", "html_content"), path, state)
+    pages = spark.read.schema("hash_content string, html_content string").parquet(path)
+    return pages.groupBy("hash_content", "html_content").agg(F.count(F.lit(1)).alias("times"))
+
+
+@query("SELECT sha256(props) AS hash_content, min(event_id) AS first_id, count(*)::BIGINT AS copies FROM events GROUP BY 1")
+def stream_first_seen(spark, sf):
     schema = views.table(spark, sf, "events").schema
     stream = fetches.fetch_stream(spark, sf, schema, pattern="events.parquet")
     pages = stream.select(
@@ -778,11 +811,13 @@ def stream_site_last_crawled(spark, sf):
 
 @query("SELECT id, status FROM marks_v")
 def stream_near_dup(spark, sf):
-    schema = views.table(spark, sf, "documents").schema
-    stream = fetches.fetch_stream(spark, sf, schema, pattern="documents.parquet")
-    store = new_path(spark, "near-dup")
-    texts = stream.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("ord"), "text")
-    fetches.stream_near_dup(texts, store, new_path(spark, "near-dup-state")).awaitTermination()
+    """Four batches, each taken up by a stream that starts again from its checkpoint."""
+    texts = views.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("doc_id").alias("ord"), "text")
+    folder, steps = _arriving(texts, "ord", 4)
+    store, state = new_path(spark, "near-dup"), new_path(spark, "near-dup-state")
+    for add in steps:
+        add()
+        fetches.stream_near_dup(fetches.fetch_stream(spark, folder, texts.schema), store, state).awaitTermination()
     return spark.read.schema("id bigint, status string").parquet(f"{store}/marks/*")
 
 

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 _local_dirs: dict[str, str] = {}
+_tables: ContextVar[list[DataFrame] | None] = ContextVar("tables", default=None)
 
 
 def build_session(app: str = "webgraph", master: str | None = None, **conf: object) -> SparkSession:
@@ -66,9 +70,22 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     table = df.sparkSession.read.schema(schema).parquet(path)
     table.written_to = [path]
+    if _tables.get() is not None:
+        _tables.get().append(table)
     return table
 
 
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Tables that ``cut_lineage`` writes inside are dropped at the end; what is to stay must be written by then."""
+    token = _tables.set([])
+    try:
+        yield
+    finally:
+        drop_tables(*_tables.get())
+        _tables.reset(token)
+
+
 def drop_tables(*tables: DataFrame) -> None:
     """Deletes written tables, as ``cut_lineage`` gave them, once everything made from them is written too."""
     for table in tables:

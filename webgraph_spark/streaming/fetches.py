@@ -9,7 +9,11 @@ from pyspark.sql.streaming import StreamingQuery
 from webgraph_spark.functions import shingles
 from webgraph_spark.operators import duplicates
 from webgraph_spark.schemas import LIMITS
-from webgraph_spark.session import new_path
+from webgraph_spark.session import cut_lineage, new_path, scratch
+from webgraph_spark.streaming import near_index
+
+# Fixed value: the state store that Spark brings for large state.
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def fetch_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None, pattern: str | None = None):
@@ -71,42 +75,40 @@ def stream_near_dup(
 ) -> StreamingQuery:
     """STR-3: marks texts (id, ord, text) batch by batch against all kept before.
 
-    Marks go to ``store/marks`` and signatures of kept texts to
-    ``store/signatures``, both by batch number, so a batch that runs again
-    replaces its own rows. Batches must arrive in order of ord.
+    Marks go to ``store/marks``, what later batches need to the index of ``near_index``, both by batch number, so a
+    batch that runs again replaces its own rows. Batches must arrive in order of ord.
     """
-    sig_schema = "id bigint, ord bigint, hash_content string, hash array<bigint>, hash_length int"
 
     def process(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        kept_before = (
-            spark.read.schema(f"{sig_schema}, batch long").parquet(f"{store}/signatures").where(F.col("batch") < number)
-            if number > 0
-            else spark.createDataFrame([], sig_schema)
-        ).drop("batch")
-        hashed_before = (
-            spark.read.schema("hash_content string, batch long").parquet(f"{store}/hashes").where(F.col("batch") < number)
-            if number > 0
-            else spark.createDataFrame([], "hash_content string")
-        ).select("hash_content")
-        work = new_path(spark, "batch")
-        sigs = duplicates.text_signatures(batch.select("id", "ord", "text"), k)
-        hashes = batch.select("id", shingles.content_hash(F.col("text")).alias("hash_content"))
-        sigs.join(hashes, "id").select("id", "ord", "hash_content", "hash", "hash_length").write.parquet(work)
-        read = spark.read.schema(sig_schema).parquet(work)
-        seen = read.select("id", "hash_content").join(hashed_before.distinct(), "hash_content", "left_semi").select("id")
-        exact = seen.union(duplicates.exact_duplicates(read).select("id")).distinct()
-        first = read.join(exact, "id", "left_anti")
-        near = duplicates.near_duplicates(first, threshold, rule, stored=kept_before).select(
-            "id", F.lit("near").alias("status")
-        )
-        found = near.union(exact.select("id", F.lit("exact").alias("status")))
-        marks = read.select("id").join(found, "id", "left").select("id", F.coalesce("status", F.lit("kept")).alias("status"))
-        marks.write.mode("overwrite").parquet(f"{store}/marks/batch={number}")
-        marked = spark.read.parquet(f"{store}/marks/batch={number}")
-        kept = read.join(marked.where("status = 'kept'").select("id"), "id")
-        kept.write.mode("overwrite").parquet(f"{store}/signatures/batch={number}")
-        read.select("hash_content").distinct().write.mode("overwrite").parquet(f"{store}/hashes/batch={number}")
+        with scratch():
+            texts = batch.select("id", "ord", "text", shingles.content_hash(F.col("text")).alias("hash_content"))
+            hashed = texts.select("id", "ord", "hash_content", shingles.shingle_set(F.col("text"), k).alias("hash"))
+            read = cut_lineage(hashed.withColumn("hash_length", F.size("hash")), "batch")
+            known = near_index.stored(spark, store, "hashes", number, read)
+            before = duplicates.stored_duplicates(read, known).select("id")
+            exact = cut_lineage(before.union(duplicates.exact_duplicates(read).select("id")).distinct(), "exact")
+            first = cut_lineage(read.join(exact, "id", "left_anti"), "first")
+            kept_before = cut_lineage(near_index.counting(spark, store, number, first, threshold), "counting")
+            near = duplicates.near_duplicates(first, threshold, rule, stored=kept_before)
+            found = near.select("id", F.lit("near").alias("status")).union(exact.select("id", F.lit("exact").alias("status")))
+            marks = read.select("id").join(found, "id", "left").select("id", F.coalesce("status", F.lit("kept")).alias("status"))
+            marks.write.mode("overwrite").parquet(f"{store}/marks/batch={number}")
+            marked = spark.read.schema("id bigint, status string").parquet(f"{store}/marks/batch={number}")
+            kept = read.join(marked.where("status = 'kept'").select("id"), "id")
+            near_index.store_batch(store, number, kept, read)
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
+
+
+def durable_state(spark: SparkSession) -> None:
+    """Keeps stream state on disk (RocksDB) with its changes in the checkpoint, so it may outgrow memory and outlives a restart."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+def run_rows(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Appends what a stream gives for all that has arrived to ``path``, each row once, also over restarts."""
+    writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
