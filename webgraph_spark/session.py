@@ -86,10 +86,14 @@ def scratch() -> Iterator[None]:
         _tables.reset(token)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes a written table, or some partitions of one."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def drop_tables(*tables: DataFrame) -> None:
     """Deletes written tables, as ``cut_lineage`` gave them, once everything made from them is written too."""
     for table in tables:
-        spark = table.sparkSession
         for path in getattr(table, "written_to", []):
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            drop_path(table.sparkSession, path)
