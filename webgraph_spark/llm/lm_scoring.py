@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from webgraph_spark.llm import hashing
 from webgraph_spark.llm.common import held_part
-from webgraph_spark.session import cut_lineage, new_path
+from webgraph_spark.session import cut_lineage, drop_path, new_path
 
 END = b" "  # no word holds a space
 ADD = 0.1
@@ -529,8 +529,11 @@ def _scored(model: Totals):
     return score
 
 
-def _slice_scores(prepared: DataFrame, model: Model, totals: Totals) -> DataFrame:
-    """(uid, known, base, score) where there are several ranges: each is broadcast in turn and told what is asked of it."""
+def _slice_scores(prepared: DataFrame, source: str, model: Model, totals: Totals) -> DataFrame:
+    """(uid, known, base, score) where there are several ranges: each is broadcast in turn and told what is asked of it.
+
+    ``prepared`` was read from ``source``; what has been answered there is dropped.
+    """
     spark = prepared.sparkSession
     path = new_path(spark, "lm-answers")
     slices = prepared.select("slice", "data", "part")
@@ -539,8 +542,11 @@ def _slice_scores(prepared: DataFrame, model: Model, totals: Totals) -> DataFram
         asked = slices.where(F.col("part") == part)
         asked.mapInArrow(_probed(shared), "slice long, data binary, part int").write.parquet(f"{path}/range={part}")
         shared.destroy()
+        drop_path(spark, f"{source}/part={part}")
     answers = spark.read.schema("slice long, data binary, part int").parquet(path).select("slice", "data", "part")
-    whole = slices.where(F.col("part").isin(SLICE, 0)).unionByName(answers)
+    # Listed anew, without the partitions that are gone.
+    rest = spark.read.schema(PREPARED_DDL).parquet(source).select("slice", "data", "part")
+    whole = rest.where(F.col("part").isin(SLICE, 0)).unionByName(answers)
     ordered = whole.repartition("slice").sortWithinPartitions("slice", "part")
     return ordered.mapInArrow(_scored(totals), "uid long, known long, base double, score double")
 
@@ -563,7 +569,8 @@ def score(docs: DataFrame, held_parts: int = 10, prior: float = PRIOR) -> DataFr
     prepared = spark.read.schema(PREPARED_DDL).parquet(path)
     found = prepared.where(F.col("part") == DOCUMENT)
     if len(model.bounds) > 2:
-        scores = _slice_scores(prepared, model, totals)
+        scores = _slice_scores(prepared, path, model, totals)
+        found = spark.read.schema(PREPARED_DDL).parquet(path).where(F.col("part") == DOCUMENT)
         found = found.select("doc_id", "held_out", "uid", "n_tokens").join(scores, "uid")
     return found.select(
         "doc_id",
