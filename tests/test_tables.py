@@ -5,10 +5,10 @@ import random
 
 from pyspark.sql import functions as F
 
-from webgraph_spark.operators import crawl, frontier, integrity, links, ordering, politeness
+from webgraph_spark.operators import claims, crawl, frontier, integrity, links, ordering, politeness
 from webgraph_spark.plans import crawl_round, reports
 from webgraph_spark.schemas import Limits
-from webgraph_spark.sources import seeds, sinks, tables
+from webgraph_spark.sources import bucketed, seeds, sinks, tables
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -177,3 +177,29 @@ def test_schedule_equals_sequential_form(spark, many_ranges):
         start = max(at, last[site] + delay) if site in last else at
         last[site], want[page] = start, (start - at) // dt.timedelta(microseconds=1)
     assert found == want and max(want.values()) > 0
+
+
+def test_stored_side_stays_in_its_buckets(spark):
+    pages = spark.range(500).select("id", F.concat(F.lit("http://h/"), "id").alias("url"))
+    candidates = spark.range(400, 700).select(F.lit(1).alias("from_page"), F.concat(F.lit("http://h/"), "id").alias("to_url"), F.col("id").alias("pos"))
+    name = bucketed.write_bucketed(pages, ["url"], 16)
+    firsts = candidates.select(F.col("to_url").alias("url"), "from_page", "pos")
+    absent = frontier.admit_unique(firsts, bucketed.read_bucketed(spark, name), ["url"], ["pos"], 16)
+    plan = absent._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in plan and "Bucketed: true" in plan
+    assert absent.count() == 200
+    found = frontier.new_pages(candidates, bucketed.read_bucketed(spark, name), 16)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, frontier.new_pages(candidates, pages).collect()))
+
+
+def test_claims(spark):
+    at = lambda s: T0 + dt.timedelta(seconds=s)
+    rows = [(1, 7, "a", at(0), 10), (2, 7, "b", at(5), 10), (3, 7, "a", at(9), 10), (4, 7, "b", at(10), 10), (5, 7, "a", at(10), 10),
+            (6, 8, "b", at(3), None), (7, 8, "a", at(10**6), 5), (8, None, "a", at(0), 5), (9, 9, "a", None, 5)]
+    log = spark.createDataFrame(rows, "claim_id bigint, page_id bigint, taker string, at timestamp_ntz, lease int")
+    assert {r.claim_id for r in claims.fold_claims(log).where("won").collect()} == {1, 4, 6}
+    held = lambda s: {tuple(r) for r in claims.held_pages(log, F.lit(at(s)).cast("timestamp_ntz")).collect()}
+    assert held(2) == {(7, "a")} and held(9) == {(7, "a"), (8, "b")} and held(12) == {(7, "b"), (8, "b")} and held(25) == {(8, "b")}
+    pages = claims.with_claims(_queue(spark).withColumn("id", F.col("id") + 6), log, F.lit(at(12)).cast("timestamp_ntz"))
+    # Pages 7 and 8 are held; the flag of the old table no longer counts.
+    assert {r.id for r in frontier.frontier_ready(pages).collect()} == {9, 10}

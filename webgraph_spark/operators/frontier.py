@@ -41,9 +41,16 @@ def next_per_site(pages: DataFrame, k: int) -> DataFrame:
     return batch.withColumn("active_in_crawler", F.lit(True)).withColumn("url", urls.percent_decode(F.col("url")))
 
 
-def admit_unique(new: DataFrame, existing: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not in ``existing``, the first by ``order`` per key."""
+def admit_unique(
+    new: DataFrame, existing: DataFrame, key: Sequence[str], order: Sequence[str], buckets: int | None = None
+) -> DataFrame:
+    """Rows of ``new`` whose key is not in ``existing``, the first by ``order`` per key.
+
+    Where ``existing`` is a table of ``buckets`` buckets by ``key``, ``new`` is dealt the same way and the stored rows stay in place.
+    """
     key = list(key)
+    if buckets is not None:
+        new, existing = new.repartition(buckets, *key), existing.hint("merge")
     rest = [name for name in new.columns if name not in key]
     first = F.min_by(F.struct(*rest), F.struct(*order)) if rest else F.lit(None)
     firsts = new.groupBy(*key).agg(first.alias("_first"))
@@ -76,10 +83,13 @@ def pages_with_site(pages: DataFrame, sites: DataFrame) -> DataFrame:
     return spread_join(located, known, ["domain"], "left", ["id"])
 
 
-def new_pages(candidates: DataFrame, pages: DataFrame) -> DataFrame:
-    """FRONTIER rows (id, url) for target URLs without a page, numbered by first sight."""
+def new_pages(candidates: DataFrame, pages: DataFrame, buckets: int | None = None) -> DataFrame:
+    """FRONTIER rows (id, url) for target URLs without a page, numbered by first sight.
+
+    ``buckets``: of ``pages``, a table stored in buckets by url.
+    """
     firsts = candidates.select(F.col("to_url").alias("url"), "from_page", "pos")
-    absent = admit_unique(firsts, pages, ["url"], ["from_page", "pos"])
+    absent = admit_unique(firsts, pages, ["url"], ["from_page", "pos"], buckets)
     last = pages.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).scalar()
     numbered = number_rows(absent, ["from_page", "pos", "url"], "_place")
     return numbered.select((last + F.col("_place")).alias("id"), "url")

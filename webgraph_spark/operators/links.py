@@ -36,9 +36,14 @@ def links_of_domain(
     return found if limit is None else limit_links(found, limit)
 
 
-def new_links(edges: DataFrame, links: DataFrame) -> DataFrame:
-    """Distinct edges that are not stored yet; self-loops are legal."""
+def new_links(edges: DataFrame, links: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Distinct edges that are not stored yet; self-loops are legal.
+
+    Where ``links`` is a table of ``buckets`` buckets by both pages, only the edges are moved.
+    """
     key = ["from_page", "to_page"]
+    if buckets is not None:
+        edges, links = edges.select(*key).repartition(buckets, *key), links.hint("merge")
     return edges.select(*key).distinct().join(links.select(*key), key, "left_anti")
 
 

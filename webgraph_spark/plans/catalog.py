@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webgraph_spark.functions import markup, responses, shingles, urls
-from webgraph_spark.operators import budget, crawl, duplicates, extract, frontier, integrity, links, politeness, robots
+from webgraph_spark.operators import budget, claims, crawl, duplicates, extract, frontier, integrity, links, politeness, robots
 from webgraph_spark.operators.skew import spread_join
 from webgraph_spark.plans import reports
 from webgraph_spark.plans import sample_views as views
 from webgraph_spark.plans.oracle import ctes
 from webgraph_spark.schemas import DATA_TYPES, PAGE_TYPES
 from webgraph_spark.session import cut_lineage, new_path
-from webgraph_spark.sources import seeds, sinks, tables
+from webgraph_spark.sources import bucketed, seeds, sinks, tables
 from webgraph_spark.streaming import fetches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -367,6 +367,26 @@ def new_links(spark, sf):
     return links.new_links(edges, edges.where("l_returnflag = 'N'"))
 
 
+@query("SELECT id, url FROM created_v")
+def new_pages_stored(spark, sf):
+    """Against a page table in buckets by url; only the candidates are moved."""
+    name = bucketed.write_bucketed(_urls(spark, sf), ["url"], 16)
+    return frontier.new_pages(views.candidates(spark, sf), bucketed.read_bucketed(spark, name), 16)
+
+
+@query(
+    """SELECT DISTINCT l_orderkey AS from_page, l_partkey AS to_page FROM lineitem l
+    WHERE NOT EXISTS (SELECT 1 FROM lineitem o WHERE o.l_returnflag = 'N' AND o.l_orderkey = l.l_orderkey AND o.l_partkey = l.l_partkey)"""
+)
+def new_links_stored(spark, sf):
+    """Against a link table in buckets by both pages; only the edges are moved."""
+    rows = views.table(spark, sf, "lineitem")
+    edges = rows.select("l_returnflag", F.col("l_orderkey").alias("from_page"), F.col("l_partkey").alias("to_page"))
+    stored = edges.where("l_returnflag = 'N'").select("from_page", "to_page")
+    name = bucketed.write_bucketed(stored, ["from_page", "to_page"], 16)
+    return links.new_links(edges, bucketed.read_bucketed(spark, name), 16)
+
+
 @query(
     """SELECT a.id AS a_id, b.id AS b_id, count(*)::BIGINT AS common
     FROM bench_shingle_v a JOIN doc_shingle_v b ON a.shingle = b.shingle GROUP BY 1, 2"""
@@ -521,6 +541,24 @@ def next_from_frontier(spark, sf):
     return frontier.next_from_frontier(views.page_states(spark, sf), 5).select("id", "url", "active_in_crawler")
 
 
+@query(
+    """WITH RECURSIVE c AS (
+      SELECT event_id AS claim_id, user_id AS page_id, (event_id % 2)::BIGINT AS taker, ts AS at,
+        ts + to_hours((6 + event_id % 3)::INTEGER) AS until, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+    nxt AS (SELECT a.page_id, a.rn, min(b.rn) AS following FROM c a JOIN c b ON b.page_id = a.page_id AND b.rn > a.rn AND b.at >= a.until GROUP BY 1, 2),
+    w AS (SELECT page_id, 1::BIGINT AS rn FROM c WHERE rn = 1
+      UNION ALL SELECT w.page_id, nxt.following FROM w JOIN nxt ON nxt.page_id = w.page_id AND nxt.rn = w.rn)
+    SELECT c.claim_id, c.page_id, c.taker, w.rn IS NOT NULL AS won FROM c LEFT JOIN w ON w.page_id = c.page_id AND w.rn = c.rn"""
+)
+def frontier_claims(spark, sf):
+    """Two takers; leases of six to eight hours that expire."""
+    claim = F.col("event_id")
+    log = views.table(spark, sf, "events").select(
+        claim.alias("claim_id"), F.col("user_id").alias("page_id"), (claim % 2).alias("taker"), F.col("ts").alias("at"), ((claim % 3 + 6) * 3600).alias("lease")
+    )
+    return claims.fold_claims(log)
+
+
 @query(
     """SELECT id, url, domain AS site, place::INTEGER AS place FROM (SELECT id, url, domain,
       row_number() OVER (PARTITION BY domain ORDER BY added_at_time ASC NULLS LAST, id) AS place
