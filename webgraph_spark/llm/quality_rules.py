@@ -287,7 +287,10 @@ def judge(measured: DataFrame) -> DataFrame:
     where no estimate fits: rows that fail the base rules, and pools of fewer than LEAST_ROWS rows, which only the
     base rules judge. NULL languages and sources are values of their own. An empty table gives an empty table.
     """
-    named = grouped(measured)
+    # Other columns may have any names, so they go along in one; distance and kept of the input are replaced.
+    others = [c for c in measured.columns if c not in ("distance", "kept")]
+    row = F.struct(*[measured[c] for c in others]).alias("_row")
+    named = grouped(measured.select(row, "lang", "source", "base_failed", *NAMES))
     good = named.where(~F.col("base_failed") & F.col("_group").isNotNull()).select("_group", *NAMES)
     fitted = estimates(cut_lineage(good, "mcd-rows"))
     judged = named.join(fitted, "_group", "left")
@@ -296,7 +299,7 @@ def judge(measured: DataFrame) -> DataFrame:
     return (
         judged.withColumn("distance", distance)
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF**0.5, F.lit(True)))
-        .drop("_group", "_mean", "_axes")
+        .select("_row.*", "distance", "kept")
     )
 
 

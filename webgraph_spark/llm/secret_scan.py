@@ -10,6 +10,7 @@ the allow list knows it. All of it is built-in expressions on one row; nothing i
 from __future__ import annotations
 
 import math
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -46,18 +47,17 @@ CLASSES = [
 ]
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 
-# What looks random and is not a secret: numbers, versions and dates, UUIDs, integrity sums, words joined by
-# marks, placeholders, and runs of one character.
+# What looks random and is not a secret: words, in one case or as humps, numbers, versions and dates, UUIDs, integrity sums, and
+# words joined by marks. Letters in mixed case that are no humps are judged like any other run.
 ALLOWED = [
-    r"^[^0-9]*$",
+    r"^[-_/+=]*+(?:(?:[A-Z]?+[a-z]{2,}+|[A-Z]{2,}+|[A-Za-z](?![A-Za-z]))[-_/+=]*+)*$",
     r"^[0-9_+/=-]+$",
     r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     r"^sha(?:1|224|256|384|512)-",
     r"^(?:[A-Za-z]+[0-9]{0,4}[-_/+=]+)+[A-Za-z]*[0-9]{0,4}[-_/+=]*$",
-    r"(?i)example|sample|placeholder|changeme|dummy|redacted",
-    r"(?i)abcdefgh|01234567|12345678|deadbeef",
-    r"(.)\1{7}",
 ]
+# Placeholders, sequences and runs of one character: a candidate is cut there and what is left of it is judged.
+CUT = r"(?i:example|sample|placeholder|changeme|dummy|redacted|abcdefgh|01234567|12345678|deadbeef)|(.)\1{7,}"
 # What in front of a candidate says that it is a checksum or a revision.
 ALLOWED_BEFORE = r"(?i)(?:commit|revision|sha-?1|sha-?256|sha-?512|md5|checksum|digest|etag)[\"']?\x20*[:=]?\x20*[\"']?$"
 
@@ -132,29 +132,31 @@ def window_entropy(candidate: Column, window: int = WINDOW) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.char_length(candidate) - 1), start, step)["most"]
 
 
-def _allowed(span: Column) -> Column:
-    known = span["before"].rlike(ALLOWED_BEFORE)
-    for pattern in ALLOWED:
-        known = known | span["hit"].rlike(pattern)
-    return known
+def _allowed(run: Column) -> Column:
+    return reduce(lambda known, pattern: known | run.rlike(pattern), ALLOWED, F.lit(False))
 
 
 def entropy_spans(text: Column) -> Column:
-    """Spans of candidates whose entropy reaches the threshold of their class and that are not allowed."""
-    candidates = F.filter(_where(text.rlike(CANDIDATE), spans(text, F.lit(CANDIDATE))), lambda s: ~_allowed(s))
+    """Spans of candidates of which a part reaches the entropy of its class and is not allowed.
 
-    def judged(span: Column) -> Column:
-        hit = span["hit"]
+    A part is what ``CUT`` leaves of a candidate, and has at least WINDOW characters.
+    """
+    found = _where(text.rlike(CANDIDATE), spans(text, F.lit(CANDIDATE)))
+    candidates = F.filter(found, lambda s: ~(_allowed(s["hit"]) | s["before"].rlike(ALLOWED_BEFORE)))
+
+    def random_class(part: Column) -> Column:
         place, bits = F.lit(len(KINDS) - 1), F.lit(CLASSES[-1].bits)
         for c in reversed(CLASSES[:-1]):
-            place = F.when(hit.rlike(c.pattern), KINDS.index(c.kind)).otherwise(place)
-            bits = F.when(hit.rlike(c.pattern), c.bits).otherwise(bits)
+            place = F.when(part.rlike(c.pattern), KINDS.index(c.kind)).otherwise(place)
+            bits = F.when(part.rlike(c.pattern), c.bits).otherwise(bits)
+        return F.when(window_entropy(part) >= bits, place)
+
+    def judged(span: Column) -> Column:
+        parts = F.filter(F.split(span["hit"], CUT), lambda p: (F.char_length(p) >= WINDOW) & ~_allowed(p))
+        place = F.array_min(F.transform(parts, random_class))
         names = F.array(*[F.lit(kind) for kind in KINDS])
         return F.struct(
-            span["start"].alias("start"),
-            F.when(window_entropy(hit) >= bits, place).alias("place"),
-            span["end"].alias("end"),
-            F.element_at(names, place + 1).alias("kind"),
+            span["start"].alias("start"), place.alias("place"), span["end"].alias("end"), F.get(names, place).alias("kind")
         )
 
     return F.filter(F.transform(candidates, judged), lambda s: s["place"].isNotNull())
