@@ -50,7 +50,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 # What looks random and is not a secret: words, in one case or as humps, numbers, versions and dates, UUIDs, integrity sums, and
 # words joined by marks. Letters in mixed case that are no humps are judged like any other run.
 ALLOWED = [
-    r"^[-_/+=]*+(?:(?:[A-Z]?+[a-z]{2,}+|[A-Z]{2,}+|[A-Za-z](?![A-Za-z]))[-_/+=]*+)*$",
+    r"^[-_/+=]*+(?:(?:[A-Z]?+[a-z]{2,}+|[A-Z][a-z](?=[A-Z][a-z]{2})|[A-Z]{2,}+|[A-Za-z](?![A-Za-z]))[-_/+=]*+)*$",
     r"^[0-9_+/=-]+$",
     r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     r"^sha(?:1|224|256|384|512)-",
