@@ -124,12 +124,37 @@ def image_sources(html: Column) -> Column:
     return _attribute_values(html, _SRC)
 
 
-def script_urls(html: Column) -> Column:
-    """URLs written in script bodies; a script inside a comment is none."""
-    bodies = F.regexp_extract_all(html, F.lit(_CODE), F.lit(1))
+def urls_in_scripts(bodies: Column) -> Column:
     found = F.transform(bodies, lambda body: F.regexp_extract_all(body, F.lit(SCRIPT_URL), F.lit(0)))
     return F.flatten(found)
 
 
+def script_urls(html: Column) -> Column:
+    """URLs written in script bodies; a script inside a comment is none."""
+    return urls_in_scripts(F.regexp_extract_all(html, F.lit(_CODE), F.lit(1)))
+
+
+# A quoted value that holds ">" or is never closed, or that reads like another attribute; "/" in place of the blank.
+_ODD_TAG = (
+    r"""(?i)<[a-z][^>]*?=\s*(?:"[^">]*>|'[^'>]*>|"[^">]*\s(?:href|src)\s*=|'[^'>]*\s(?:href|src)\s*=)|<(?:a|img)/"""
+)
+_ODD_COMMENT = r"<!--+>|--!>"
+
+
+def _left_open(text: Column, opening: str, closing: str) -> Column:
+    return F.contains(text, F.lit(opening)) & ~F.contains(F.substring_index(text, opening, -1), F.lit(closing))
+
+
+def misread(html: Column) -> Column:
+    """Whether the patterns above may read the markup otherwise than a tokenizer: odd quotes, comments, what is left open.
+
+    Looks for signs in linear time and rather says yes; NULL and plain markup are False.
+    """
+    odd = html.rlike(_ODD_TAG) | html.rlike(_ODD_COMMENT) | _left_open(html, "<!--", "-->")
+    for name in ("script", "style"):
+        odd = odd | _left_open(F.lower(html), f"<{name}", f"</{name}")
+    return F.coalesce(odd, F.lit(False))
+
+
 def sitemap_locations(xml: Column) -> Column:
     return F.transform(F.regexp_extract_all(xml, F.lit(_LOC), F.lit(1)), lambda loc: decode_entities(loc))

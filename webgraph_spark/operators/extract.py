@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from html.parser import HTMLParser
 
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webgraph_spark.functions import markup, urls
+from webgraph_spark.operators.skew import spread_join
 from webgraph_spark.schemas import LIMITS
 
 
@@ -122,17 +123,62 @@ _TOKENS = pa.schema(
 )
 
 
-def tokenize_pages(pages: DataFrame) -> DataFrame:
-    """Exact mode: one HTML tokenizer pass over (id, html_content), batch by batch.
+def tokenize_pages(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Exact mode: one HTML tokenizer pass over (id, html_content), batch by batch; columns to ``keep`` come along.
 
     Slower than the expressions in ``functions.markup``; for markup they misread.
     """
+    keep = list(keep)
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("id").to_pylist()
             rows = [{"id": i, **_read_page(h)} for i, h in zip(ids, batch.column("html_content").to_pylist())]
-            yield pa.RecordBatch.from_pylist(rows, schema=_TOKENS)
+            read = pa.RecordBatch.from_pylist(rows, schema=_TOKENS)
+            for name in keep:
+                read = read.append_column(name, batch.column(name))
+            yield read
 
     schema = "id bigint, text string, hrefs array<string>, sources array<string>, scripts array<string>"
-    return pages.select("id", "html_content").mapInArrow(tokenize, schema)
+    kinds = dict(pages.dtypes)
+    schema = ", ".join([schema, *[f"`{name}` {kinds[name]}" for name in keep]])
+    return pages.select("id", "html_content", *keep).mapInArrow(tokenize, schema)
+
+
+def page_candidates(pages: DataFrame, fix_www: bool = False) -> DataFrame:
+    """Links, images and script links of every page, as ``all_candidates`` gives them; pages has id, url, html_content.
+
+    Markup that the patterns would misread goes through the tokenizer, all other pages stay with the patterns. Either way a
+    page is read once, into one row of short arrays.
+    """
+    html, odd = F.col("html_content"), markup.misread(F.col("html_content"))
+    plain = pages.where(~odd).select(
+        "id", "url", markup.hrefs(html).alias("hrefs"), markup.image_sources(html).alias("sources"), markup.script_urls(html).alias("scripts")
+    )
+    exact = tokenize_pages(pages.where(odd), ["url"]).withColumn("scripts", markup.urls_in_scripts(F.col("scripts")))
+    read = plain.unionByName(exact.select("id", "url", "hrefs", "sources", "scripts"))
+
+    def placed(kind: str, name: str) -> Column:
+        return F.transform(name, lambda value, at: F.struct(F.lit(kind).alias("kind"), at.alias("pos"), value.alias("value")))
+
+    values = F.concat(placed("a", "hrefs"), placed("img", "sources"), placed("script", "scripts"))
+    found = read.select("id", urls.origin(F.col("url")).alias("_site"), F.inline(values))
+    value, site, kind = F.col("value"), F.col("_site"), F.col("kind")
+    target = (
+        F.when(kind == "a", urls.canonical_link(value, site, fix_www))
+        .when(kind == "img", urls.canonical_image(value, site))
+        .otherwise(urls.canonical_link(value, site))
+    )
+    targets = found.select(F.col("id").alias("from_page"), target.alias("to_url"), "kind", "pos")
+    return all_candidates(targets.where(F.col("to_url").isNotNull()))
+
+
+def sitemap_entries(entries: DataFrame, sites: DataFrame, key: str = "site_id") -> DataFrame:
+    """Targets of stored sitemap files: entries (key, pos, loc), and sites (key, from_page, url), one row per key."""
+    joined = spread_join(entries, sites.select(key, "from_page", "url"), [key], "inner", ["pos"])
+    return joined.select(
+        "from_page",
+        urls.canonical_link(F.col("loc"), urls.origin(F.col("url"))).alias("to_url"),
+        F.lit("sitemap").alias("kind"),
+        "pos",
+    ).where(F.col("to_url").isNotNull())

@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webgraph_spark.functions import markup, responses, shingles, urls
-from webgraph_spark.operators import budget, claims, crawl, duplicates, extract, frontier, integrity, links, politeness, robots
+from webgraph_spark.operators import budget, claims, contents, crawl, duplicates, extract, frontier, integrity, links, politeness, robots
 from webgraph_spark.operators.skew import spread_join
 from webgraph_spark.plans import reports
 from webgraph_spark.plans import sample_views as views
 from webgraph_spark.plans.oracle import ctes
 from webgraph_spark.schemas import DATA_TYPES, PAGE_TYPES
 from webgraph_spark.session import cut_lineage, new_path
-from webgraph_spark.sources import bucketed, seeds, sinks, tables
+from webgraph_spark.sources import bucketed, published, seeds, sinks, sitemaps, tables
 from webgraph_spark.streaming import fetches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,13 +146,28 @@ def append_pages(spark, sf):
     return tables.read_table(spark, base, "page").select("id", "url", "page_type_code")
 
 
-@query("SELECT page_id, 'PDF' AS data_type_code, 11::BIGINT AS data_size FROM fetch_v WHERE content_type = 'application/pdf'")
+def _budgeted(where: str, limit: int, columns: str) -> str:
+    """The rows of ``body_v`` that the byte budget admits, one step per row."""
+    return f"""WITH RECURSIVE body_n AS (SELECT *, row_number() OVER (ORDER BY page_id) AS rn FROM body_v WHERE {where}),
+    body_step AS (SELECT 0::BIGINT AS rn, 0::BIGINT AS stored, FALSE AS admitted
+      UNION ALL SELECT o.rn, s.stored + CASE WHEN s.stored + o.data_size >= {limit} THEN 0 ELSE o.data_size END,
+        s.stored + o.data_size < {limit} FROM body_step s JOIN body_n o ON o.rn = s.rn + 1)
+    SELECT {columns} FROM body_step s JOIN body_n o ON o.rn = s.rn WHERE s.admitted"""
+
+
+DATA_LIMIT = 12_000
+
+
+@query(
+    _budgeted(
+        "page_type_code = 'BINARY' AND content_type = 'application/pdf'", DATA_LIMIT, "page_id, 'PDF' AS data_type_code, data_size, data_size AS stored"
+    )
+)
 def append_page_data(spark, sf):
     base = new_path(spark, "tables")
-    code = responses.data_type_code(F.col("content_type"))
-    rows = views.fetch_log(spark, sf).select("page_id", code.alias("data_type_code"), F.lit(11).alias("data_size"))
-    tables.append(rows.where("data_type_code is not null"), base, "page_data")
-    return tables.read_table(spark, base, "page_data").select("page_id", "data_type_code", "data_size")
+    tables.append(contents.page_data_rows(views.fetched_bodies(spark, sf), limit=DATA_LIMIT), base, "page_data")
+    stored = tables.read_table(spark, base, "page_data")
+    return stored.select("page_id", "data_type_code", "data_size", F.octet_length("data").cast("long").alias("stored"))
 
 
 @query("SELECT id, domain FROM site_v")
@@ -165,14 +180,56 @@ def append_sites(spark, sf):
 
 
 @query(
-    """SELECT page_id, content_type, string_split(url, '/')[-1] AS filename, 7::BIGINT AS data_size
-    FROM fetch_v JOIN pages USING (page_id) WHERE contains(content_type, 'image')"""
+    _budgeted(
+        "page_type_code = 'IMAGE'", DATA_LIMIT, "page_id, content_type, page_id || '.bin?v=1' AS filename, data_size, data_size AS stored"
+    )
 )
 def append_images(spark, sf):
     base = new_path(spark, "tables")
-    images = views.fetch_log(spark, sf).where(F.col("content_type").contains("image")).join(_pages(spark, sf).select("page_id", "url"), "page_id")
-    tables.append(images.withColumn("filename", urls.image_filename(F.col("url"))).withColumn("data_size", F.lit(7)), base, "image")
-    return tables.read_table(spark, base, "image").select("page_id", "content_type", "filename", "data_size")
+    tables.append(contents.image_rows(views.fetched_bodies(spark, sf), limit=DATA_LIMIT), base, "image")
+    stored = tables.read_table(spark, base, "image")
+    return stored.select("page_id", "content_type", "filename", "data_size", F.octet_length("data").cast("long").alias("stored"))
+
+
+@query(
+    """SELECT 'image' AS name, count(*)::BIGINT AS rows, sum(data_size)::BIGINT AS total FROM body_v WHERE page_type_code = 'IMAGE'
+    UNION ALL SELECT 'page_data', count(*), sum(data_size)::BIGINT FROM body_v WHERE page_type_code = 'BINARY' AND content_type = 'application/pdf'
+    UNION ALL SELECT 'link', count(*), sum(to_page)::BIGINT FROM (SELECT DISTINCT l_orderkey AS from_page, l_partkey AS to_page FROM lineitem)"""
+)
+def publish_batches(spark, sf):
+    """Two batches over three tables; the first is published twice, and a writer dies between staging and publishing."""
+    base = new_path(spark, "published")
+    fetches = views.fetched_bodies(spark, sf)
+    edges = views.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("from_page"), F.col("l_partkey").alias("to_page"))
+    for batch, part in [("even", 0), ("odd", 1), ("even", 0)]:
+        mine = fetches.where(F.col("page_id") % 2 == part)
+        stored = published.read_published(spark, base, "link", without=batch)
+        new = links.new_links(edges.where(F.col("from_page") % 2 == part), stored)
+        rows = {"image": contents.image_rows(mine), "page_data": contents.page_data_rows(mine), "link": new}
+        published.commit(spark, rows, base, batch)
+    published.stage({"link": edges}, base, "never")
+    read = {name: published.read_published(spark, base, name) for name in ("image", "page_data", "link")}
+    sums = [
+        rows.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"), F.sum("to_page" if name == "link" else "data_size").alias("total"))
+        for name, rows in read.items()
+    ]
+    return sums[0].unionByName(sums[1]).unionByName(sums[2])
+
+
+@query(
+    """SELECT id, domain, CASE WHEN id % 3 <> 0 THEN robots_content END AS robots_content,
+      CASE WHEN id % 8 = 0 THEN domain || 'sitemap.xml' WHEN id % 8 = 5 AND id % 5 <> 0 THEN domain || 'b.xml' END AS sitemap_content
+    FROM site_v"""
+)
+def site_rows(spark, sf):
+    """Sites with their files: some robots files are pages, some second sitemaps are missing."""
+    sites = views.sites(spark, sf)
+    plain = F.when(F.col("id") % 3 != 0, "text/plain; charset=utf-8").otherwise("text/html")
+    files = sites.select("domain", F.lit(200).alias("status"), plain.alias("content_type"), F.col("robots_content").alias("body"))
+    listed = robots.sitemap_list(_robots_sites(spark, sf)).join(sites.select(F.col("id").alias("site_id"), "domain"), "site_id")
+    missing = (F.col("pos") == 2) & (F.col("site_id") % 5 == 0)
+    maps = listed.select("domain", "pos", F.when(missing, 404).otherwise(200).alias("status"), F.col("sitemap_url").alias("body"))
+    return contents.site_rows(sites, files, maps)
 
 
 @query("SELECT id AS page_id, n::INTEGER AS hash_length, n::INTEGER AS stored FROM doc_length_v")
@@ -716,6 +773,31 @@ def extract_sitemap_urls(spark, sf):
     return extract.extract_sitemap_urls(views.marked_up(spark, sf)).select("from_page", "to_url")
 
 
+@query(
+    """SELECT s.id AS from_page, string_split(p.url, '#')[1] AS to_url FROM page_v p JOIN site_v s USING (domain)
+    UNION ALL SELECT s.id, domain || 's/' || p.id FROM page_v p JOIN site_v s USING (domain)"""
+)
+def sitemap_files(spark, sf):
+    """The entries of all pages of a site as files of the site, read in parts."""
+    path = new_path(spark, "sitemap-files")
+    sites = views.sites(spark, sf).select(F.col("id").alias("site_id"), F.col("id").alias("from_page"), F.col("domain").alias("url"))
+    located = views.marked_up(spark, sf).select(urls.origin(F.col("url")).alias("domain"), "content")
+    known = sites.select(F.col("url").alias("domain"), "site_id")
+    located.join(known, "domain").select("site_id", "content").write.partitionBy("site_id").text(path)
+    return extract.sitemap_entries(sitemaps.read_sitemap_files(spark, path), sites).select("from_page", "to_url")
+
+
+@query(
+    """SELECT from_page, to_url, 'a' AS kind FROM cand_v
+    UNION ALL SELECT id, domain || 'odd/' || id, 'a' FROM page_v WHERE id % 4 < 3
+    UNION ALL SELECT id, domain || 'i/' || id || '.png', 'img' FROM page_v WHERE id % 4 = 1
+    UNION ALL SELECT id, 'http://s' || id || '.example.org/x', 'script' FROM page_v WHERE id % 4 = 2"""
+)
+def page_candidates(spark, sf):
+    """Pages of which three in four begin with markup that the patterns misread."""
+    return extract.page_candidates(views.misread_pages(spark, sf)).select("from_page", "to_url", "kind")
+
+
 @query("SELECT id, sha256(text) AS text_hash, length(text)::INTEGER AS n_chars FROM page_text_v")
 def strip_markup(spark, sf):
     read = views.crawled(spark, sf).select("id", markup.strip_markup(F.col("html_content")).alias("text"))

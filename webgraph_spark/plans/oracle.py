@@ -126,6 +126,8 @@ VIEWS: dict[str, str] = {
         WHEN contains(coalesce(content_type, ''), 'text/html') THEN
           CASE WHEN html IS NULL THEN 'ERROR' WHEN duplicate THEN 'DUPLICATE' ELSE 'HTML' END
         WHEN contains(coalesce(content_type, ''), 'image') THEN 'IMAGE' ELSE 'BINARY' END AS page_type_code FROM fetch_v""",
+    "body_v": """SELECT t.*, strlen(repeat(props, (event_id % 5)::INTEGER))::BIGINT AS data_size
+        FROM typed_v t JOIN events ON event_id = page_id WHERE event_id % 19 <> 0""",
     "line_v": """SELECT site_id, line_no, key, value, CASE key WHEN '' THEN 'E' WHEN 'user-agent' THEN 'U' ELSE 'R' END AS kind FROM (
         SELECT site_id, line_no, CASE WHEN line = '' THEN '' ELSE lower(trim(split_part(content, ':', 1))) END AS key,
           trim(substr(content, instr(content, ':') + 1)) AS value FROM (

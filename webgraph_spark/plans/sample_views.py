@@ -112,6 +112,18 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fetched_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fetch log with a URL and a body per fetch, and ``_ord``, the order of arrival."""
+    number = F.col("event_id").cast("string")
+    bodies = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("page_id"),
+        F.concat(F.lit("http://a.example.org/i/"), number, F.lit(".bin?v=1")).alias("url"),
+        F.when(F.col("event_id") % 19 != 0, F.encode(F.repeat("props", (F.col("event_id") % 5).cast("int")), "UTF-8")).alias("body"),
+        F.col("event_id").alias("_ord"),
+    )
+    return fetch_log(spark, sf_dir).join(bodies, "page_id")
+
+
 def delays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crawl delay per site of the fetch log: 0 to 3 hours, NULL for none."""
     seconds = F.col("site_id") % 4 * 3600
@@ -142,3 +154,18 @@ def marked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("</loc></url><url><loc>/s/"), number, F.lit("</loc></url></urlset>"),
         ).alias("content"),
     )
+
+
+def misread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages behind markup that only a tokenizer reads: ``>`` in values, odd comments, a value that looks like an attribute."""
+    number = F.col("id").cast("string")
+    odd_link = F.concat(F.lit('<a title="a > b" href="/odd/'), number, F.lit('">o</a>'))
+    fronts = [
+        odd_link,
+        F.concat(F.lit("<a title=' href=x' href='/odd/"), number, F.lit("'>o</a><img alt='2 > 1' src='/i/"), number, F.lit(".png'>")),
+        F.concat(odd_link, F.lit('<script data-x="a>b">u = "http://s'), number, F.lit('.example.org/x"</script>')),
+    ]
+    front = F.lit("")
+    for rest, markup in enumerate(fronts):
+        front = F.when(F.col("id") % 4 == rest, markup).otherwise(front)
+    return crawled(spark, sf_dir).withColumn("html_content", F.concat(front, F.col("html_content")))
