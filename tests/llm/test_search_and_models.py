@@ -283,3 +283,40 @@ def test_labels_of_held_out_rows_are_not_read(spark):
     turned = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
     score = lambda given: {r["doc_id"]: round(r["score"], 9) for r in classifier.classify(docs, given).collect()}
     assert score(labels) == score(turned)
+
+
+def _points(spark, seed: int, n: int = 600):
+    """Two clouds; a third of the first is trusted, all else is unlabelled."""
+    rng = np.random.default_rng(seed)
+    good = rng.random(n) < 0.4
+    x = rng.normal(size=(n, len(classifier.FEATURES))) + np.where(good, 1.0, -1.0)[:, None] * (np.arange(len(classifier.FEATURES)) < 3)
+    positive = good & (rng.random(n) < 1 / 3)
+    rows = [(x[i].tolist(), bool(positive[i]), i % 3) for i in range(n)]
+    return x, good, positive, spark.createDataFrame(rows, "x array<double>, positive boolean, fold int")
+
+
+def _plain_risk(z, positive, weights, prior):
+    f = z @ weights
+    loss = lambda v: np.log1p(np.exp(-v))
+    return prior * loss(f[positive]).mean() + max(0.0, loss(-f).mean() - prior * loss(-f[positive]).mean())
+
+
+def test_classifier_risk_against_a_plain_form(spark):
+    x, good, positive, rows = _points(spark, 1)
+    mean, spread = x.mean(axis=0), np.sqrt(np.maximum((x * x).mean(axis=0) - x.mean(axis=0) ** 2, 1e-8))
+    z = np.hstack([np.clip((x - mean) / spread, -classifier.WIDEST, classifier.WIDEST), np.ones((len(x), 1))])
+    scale = classifier._scaling(rows)
+    assert np.allclose(scale(x), z)
+    weights = classifier._fit(rows, scale, 0.4, 0.1)
+    assert np.isclose(classifier.risk(rows, scale, weights, 0.4), _plain_risk(z, positive, weights, 0.4))
+    whole = lambda w: _plain_risk(z, positive, w, 0.4) + 0.05 * (w @ w)
+    rng = np.random.default_rng(2)
+    assert all(whole(weights) <= whole(weights + 0.01 * rng.normal(size=len(weights))) + 1e-9 for _ in range(200))
+    found = z @ weights > 0
+    assert (found == good).mean() > 0.9
+
+
+def test_classifier_ridge_is_weighed_on_training_folds(spark):
+    _, _, _, rows = _points(spark, 3, 300)
+    risks = classifier.fold_risks(rows, (0.01, 3.0))
+    assert list(risks) == [0.01, 3.0] and risks[0.01] < risks[3.0]
