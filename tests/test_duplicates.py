@@ -92,3 +92,22 @@ def test_one_kept_page_settles_a_large_group_of_copies(spark, monkeypatch):
     found = D.near_duplicates(spark.createDataFrame(rows, SIGS)).collect()
     assert sorted((r.id, r.matched_id) for r in found) == [(i, 0) for i in range(1, 400)]
     assert max(s.count() for s in sizes) < 1000
+
+
+def test_chains_of_open_pages_end_without_a_round_each(spark, monkeypatch):
+    """Each page is similar to the one before only, so every other one is kept."""
+    calls = []
+    decide = D._decide
+    monkeypatch.setattr(D, "_decide", lambda *a: calls.append(1) or decide(*a))
+    rows = [_sig(i, range(10 * i, 10 * i + 30)) for i in range(12)]
+    found = D.near_duplicates(spark.createDataFrame(rows, SIGS), 0.4).collect()
+    assert sorted((r.id, r.matched_id) for r in found) == [(i, i - 1) for i in range(1, 12, 2)]
+    assert not calls
+
+
+def test_longer_page_without_small_common_shingles_is_a_rival(spark):
+    """Page 1 holds all of page 3, but shares none of its smallest shingles; at 0.95 it is not ranked."""
+    rows = [_sig(1, [*range(1000), *range(10_000, 10_100)]), _sig(2, range(10_000, 10_099)), _sig(3, range(10_000, 10_100))]
+    sigs = spark.createDataFrame(rows, SIGS)
+    assert D.near_duplicates(sigs).count() == 0
+    assert [tuple(r) for r in D.near_duplicates(sigs, rule="max_jaccard").collect()] == [(3, 2, 0.99)]
