@@ -48,7 +48,8 @@ RANGE_BYTES = 2**25  # of filter and counts that are broadcast at once
 # 1 checks): mean log10 probability of a token -3.70, -3.68, -3.67, -3.68, -3.70 with 10, 20, 50, 100, 200.
 PRIOR = 50.0
 SLICE_TEXT = 4_000_000  # bytes of text whose n-grams are asked together
-FLUSH = 3_000_000  # n-grams a task holds before it passes their counts on
+COUNT_TEXT = 1_000_000  # bytes of text that are counted together
+FLUSH = 2_000_000  # n-grams a task holds before it puts equal ones together, and passes them on if half are left
 
 _GOLDEN = 0x9E3779B97F4A7C15
 _PAIR = hashing.multipliers(2, 31)
@@ -154,8 +155,11 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     if not keys:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     all_keys, all_counts = np.concatenate(keys), np.concatenate(counts)
+    keys.clear()
+    counts.clear()
     order = np.argsort(all_keys)
     all_keys, all_counts = all_keys[order], all_counts[order]
+    del order
     starts = np.flatnonzero(np.append(True, all_keys[1:] != all_keys[:-1])) if len(all_keys) else np.zeros(0, np.int64)
     return all_keys[starts], np.add.reduceat(all_counts, starts) if len(starts) else np.zeros(0, np.int64)
 
@@ -164,13 +168,21 @@ def _counted(bits: int):
     """(segment, pair, keys, counts) of blocks of tokens."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bool, list] = {False: [], True: []}
+        held: dict[bool, tuple[list, list]] = {pair: ([], []) for pair in (False, True)}
         size = 0
 
+        def merge() -> int:
+            """Puts equal n-grams together and gives the number of those left."""
+            left = 0
+            for keys, counts in held.values():
+                merged, sums = _summed(keys, counts)
+                keys[:], counts[:] = [merged], [sums]
+                left += len(merged)
+            return left
+
         def flush() -> Iterator[pa.RecordBatch]:
-            for pair, parts in held.items():
-                keys, counts = _summed([k for k, _ in parts], [c for _, c in parts])
-                parts.clear()
+            for pair, (own_keys, own_counts) in held.items():
+                keys, counts = _summed(own_keys, own_counts)
                 segments, starts = np.unique(segment_of(keys, bits), return_index=True)
                 bounds = list(zip(starts, [*starts[1:], len(keys)]))
                 yield pa.RecordBatch.from_arrays(
@@ -184,17 +196,21 @@ def _counted(bits: int):
                 )
 
         for batch in batches:
-            for _, texts in hashing.slices(batch, "text"):
+            for _, texts in hashing.slices(batch, "text", COUNT_TEXT):
                 known, numbers, ends = _tokens(texts)
-                held[False].append((keys_of(known), np.bincount(numbers, minlength=len(known))))
+                held[False][0].append(keys_of(known))
+                held[False][1].append(np.bincount(numbers, minlength=len(known)))
                 hashes = known[numbers]
                 before = known[_before(numbers, ends, _end_number(known))]
                 pairs, places = _distinct(pair_keys(hashes, before))
-                held[True].append((pairs, np.bincount(places)))
+                held[True][0].append(pairs)
+                held[True][1].append(np.bincount(places))
                 size += len(pairs) + len(known)
                 if size >= FLUSH:
-                    yield from flush()
-                    size = 0
+                    size = merge()
+                    if size >= FLUSH // 2:
+                        yield from flush()
+                        size = 0
         yield from flush()
 
     return count
