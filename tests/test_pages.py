@@ -1,3 +1,5 @@
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from webgraph_spark.functions import markup, shingles
@@ -103,3 +105,16 @@ def test_markup_that_browsers_read_otherwise(spark):
     assert row.text == "ABC\u2019\ufffd\u00a92"
     assert row.hrefs == ["/p?a=1&section=2&region=3&copy=4&b=5<"]
     assert row.urls == ["http://seen.example.org/a"]
+
+
+def test_shingles_are_counted_through_runs(spark):
+    """Repeated windows count once a row; what is moved is far less than all windows."""
+    texts = ["a b c a b c a b c d", "x a b c d", None, "", "a b", "a a a a a", "a b c a b c a b c d", " ".join(map(str, range(300)))]
+    expected = Counter(" ".join(w) for t in texts if t for w in {tuple(t.split()[i : i + 3]) for i in range(len(t.split()) - 2)})
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = shingles.shingle_counts(frame, "t", 4, 3).collect()
+    assert {r.shingle: r.pages for r in found} == expected and len(found) == len(expected)
+    text = texts[-1].encode()
+    runs = shingles._runs(text, 10)
+    assert sum(len(run.split()) - 9 for _, run in runs) == 291
+    assert sum(len(run) for _, run in runs) < 4 * len(text)

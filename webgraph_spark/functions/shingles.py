@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import zlib
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webgraph_spark.functions.binding import bind
@@ -10,6 +16,10 @@ from webgraph_spark.schemas import LIMITS
 
 # Fixed value: word separators, Unicode white space and the four ASCII separators.
 WORD_BREAK = r"(?U)[\s\x1c-\x1f]+"
+# Words that a window is dealt by (``shingle_counts``), and bytes of text for each part they are dealt to.
+DEALT_WORDS = 3
+DEALT_BYTES = 2**24
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def content_hash(html: Column) -> Column:
@@ -20,6 +30,24 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, WORD_BREAK), lambda w: w != "")
 
 
+def _normal(text: Column) -> Column:
+    """The words as bytes, one blank between two; words hold no blanks."""
+    return F.array_join(words(text), " ").cast("binary")
+
+
+def _bounds(normal: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words begin and where they end."""
+    if not normal:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    blanks = np.flatnonzero(np.frombuffer(normal, np.uint8) == 32)
+    return np.append(0, blanks + 1), np.append(blanks, len(normal))
+
+
+def _cut(normal: bytes, starts: np.ndarray, ends: np.ndarray, k: int) -> list[bytes]:
+    """Every window of ``k`` words."""
+    return [normal[a:b] for a, b in zip(starts.tolist(), ends[k - 1 :].tolist())]
+
+
 def _windows(text: Column, k: int, finish) -> Column:
     def windows(tokens: Column) -> Column:
         count = F.size(tokens) - (k - 1)
@@ -40,6 +68,53 @@ def shingle_set(text: Column, k: int = LIMITS.shingle_words) -> Column:
     return F.array_distinct(_windows(text, k, lambda shingle: F.crc32(shingle.cast("binary"))))
 
 
+def _runs(normal: bytes, k: int) -> list[tuple[int, bytes]]:
+    """(key, words) of runs of windows that a text holds, each window in one run and once.
+
+    The key is the smallest hash of ``DEALT_WORDS`` words in a window: equal windows have equal keys, and neighbours mostly too.
+    """
+    starts, ends = _bounds(normal)
+    count = len(starts) - k + 1
+    if count < 1:
+        return []
+    part = min(DEALT_WORDS, k)
+    hashes = np.fromiter(map(zlib.crc32, _cut(normal, starts, ends, part)), np.uint64) * _SPREAD
+    keys = np.lib.stride_tricks.sliding_window_view(hashes, k - part + 1).min(axis=1)
+    breaks = np.append(True, keys[1:] != keys[:-1])
+    windows = _cut(normal, starts, ends, k)
+    first = np.ones(count, bool)
+    seen = set(windows)
+    if len(seen) < count:
+        first[:] = False
+        first[list({w: i for i, w in reversed(list(enumerate(windows)))}.values())] = True
+    breaks[1:] |= ~first[:-1]
+    breaks &= first
+    # A run ends before the next one begins or before a window that came earlier.
+    stops = np.flatnonzero(np.append(breaks[1:] | ~first[1:], True) & first)
+    begins = np.flatnonzero(breaks)
+    own = keys[begins].view(np.int64).tolist()
+    return [(key, normal[a:b]) for key, a, b in zip(own, starts[begins].tolist(), ends[stops + k - 1].tolist())]
+
+
+def shingle_counts(texts: DataFrame, column: str, parts: int, k: int = LIMITS.shingle_words) -> DataFrame:
+    """(shingle, pages): on how many rows of ``texts`` each window of ``k`` words occurs.
+
+    Neighbouring windows are moved together, as the words they span, to the part of their key; only there are they cut out
+    and counted. What is moved is about three times the text and not ``k`` times. Equal runs of a batch are moved once.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            met = Counter(run for normal in batch.column(0) for run in _runs(normal.as_py() or b"", k))
+            columns = [pa.array([key for key, _ in met], pa.int64()), pa.array([run for _, run in met], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(list(met.values()), pa.int64())], ["key", "run", "n"])
+
+    runs = texts.select(_normal(F.col(column))).mapInArrow(deal, "key long, run binary, n long").repartition(parts, "key")
+    cut = runs.select("key", "n", F.explode(word_shingles(F.col("run").cast("string"), k)).alias("shingle"))
+    # Parts by key hold all of a shingle, so the rows stay where they are.
+    return cut.groupBy("key", "shingle").agg(F.sum("n").alias("pages")).select("shingle", "pages")
+
+
 def signature_length(signature: Column) -> Column:
     return F.size(F.array_distinct(signature))
 

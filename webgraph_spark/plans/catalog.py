@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from webgraph_spark.functions import markup, responses, shingles, urls
 from webgraph_spark.operators import budget, claims, contents, crawl, duplicates, extract, frontier, integrity, links, politeness, robots
-from webgraph_spark.operators.skew import spread_join
+from webgraph_spark.operators.skew import planned_bytes, spread_join
 from webgraph_spark.plans import reports
 from webgraph_spark.plans import sample_views as views
 from webgraph_spark.plans.oracle import ctes
@@ -818,8 +818,8 @@ def content_hash(spark, sf):
 @query("SELECT shingle, count(*)::BIGINT AS pages FROM doc_shingle_v GROUP BY shingle")
 def word_shingles(spark, sf):
     texts = views.texts(spark, sf)
-    windows = texts.select(F.explode(F.array_distinct(shingles.word_shingles(F.col("html_content")))).alias("shingle"))
-    return windows.groupBy("shingle").agg(F.count(F.lit(1)).alias("pages"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), planned_bytes(texts) // shingles.DEALT_BYTES + 1)
+    return shingles.shingle_counts(texts, "html_content", parts)
 
 
 @query(
