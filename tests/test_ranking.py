@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -6,6 +7,8 @@ from pyspark.sql import functions as F
 from webgraph_spark.functions import shingles
 from webgraph_spark.operators import duplicates as D
 from webgraph_spark.operators import ranking
+from webgraph_spark.session import new_path
+from webgraph_spark.streaming import near_index
 
 SIGS = "id bigint, ord bigint, hash array<bigint>, hash_length int"
 
@@ -68,3 +71,25 @@ def test_pages_that_come_twice_are_put_together(spark):
     once = [(1, 1, [1, 2, 3, 4], 4), (2, 2, [1, 2, 3, 5], 4), (3, 3, [8, 9], 2)]
     found = D.near_duplicates(spark.createDataFrame(once + once, SIGS), 0.5).collect()
     assert [tuple(r) for r in found] == [(2, 1, 0.6)]
+
+
+def test_an_index_makes_folders_for_postings_only(spark):
+    store = new_path(spark, "store")
+    texts = spark.createDataFrame([(i, i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(80)], "id bigint, ord bigint, text string")
+    sigs = D.text_signatures(texts, 3)
+    near_index.store_batch(store, 0, sigs, texts.withColumn("hash_content", F.sha2("text", 256)))
+    folders = {name: [f for f in os.listdir(f"{store}/{name}/batch=0") if f.startswith("bucket=")] for name in near_index.SCHEMAS}
+    assert [name for name, own in folders.items() if own] == ["postings"]
+    assert near_index.stored(spark, store, "hashes", 1, texts.limit(3).withColumn("hash_content", F.sha2("text", 256))).count() >= 3
+    met = near_index.stored(spark, store, "signatures", 1, spark.createDataFrame([(7,), (50,)], "id bigint"))
+    assert {7, 50} <= {r.id for r in met.collect()} and met.count() < 80
+
+
+def test_frequent_shingles_come_last_among_probes(spark):
+    """Shingles on many pages are found over batches and parts, and a probe asks for others first."""
+    rows = [(i, i, [1, 2, *range(100 * i, 100 * i + 8)], 10) for i in range(1, 71)]
+    sigs = spark.createDataFrame(rows, SIGS).repartition(5)
+    frequent = ranking.shingles_on(sigs, 64)
+    assert sorted(r.shingle for r in frequent.collect()) == [1, 2]
+    asked = near_index.probes(sigs, frequent, 0.35).collect()
+    assert len(asked) == 70 * (10 - 4 + 1) and not {r.shingle for r in asked} & {1, 2}

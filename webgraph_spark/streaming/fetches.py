@@ -83,8 +83,7 @@ def stream_near_dup(
         spark = batch.sparkSession
         with scratch():
             texts = batch.select("id", "ord", "text", shingles.content_hash(F.col("text")).alias("hash_content"))
-            hashed = texts.select("id", "ord", "hash_content", shingles.shingle_set(F.col("text"), k).alias("hash"))
-            read = cut_lineage(hashed.withColumn("hash_length", F.size("hash")), "batch")
+            read = cut_lineage(shingles.with_sets(texts, "text", k), "batch")
             known = near_index.stored(spark, store, "hashes", number, read)
             before = duplicates.stored_duplicates(read, known).select("id")
             exact = cut_lineage(before.union(duplicates.exact_duplicates(read).select("id")).distinct(), "exact")
@@ -95,7 +94,7 @@ def stream_near_dup(
             marks = read.select("id").join(found, "id", "left").select("id", F.coalesce("status", F.lit("kept")).alias("status"))
             marks.write.mode("overwrite").parquet(f"{store}/marks/batch={number}")
             marked = spark.read.schema("id bigint, status string").parquet(f"{store}/marks/batch={number}")
-            kept = read.join(marked.where("status = 'kept'").select("id"), "id")
+            kept = cut_lineage(read.join(marked.where("status = 'kept'").select("id"), "id"), "kept")
             near_index.store_batch(store, number, kept, read)
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)

@@ -1,6 +1,6 @@
 """What a stream of texts has kept, stored so that a batch reads only what it may meet (STR-3).
 
-Kept texts are stored three times, each time cut into buckets below a folder per batch: by content hash, by shingle
+Kept texts are stored three times, each time in buckets below a folder per batch: by content hash, by shingle
 (an inverted index: shingle, id) and by id (the signatures). A batch asks the buckets its own hashes fall into, then those of
 a few of its shingles, then those of the ids found there.
 
@@ -14,13 +14,26 @@ A batch that runs again replaces its own folders and never reads them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webgraph_spark.operators import duplicates
+from webgraph_spark.functions import shingles
+from webgraph_spark.operators import ranking
+from webgraph_spark.session import cut_lineage
 
 BUCKETS = 256
 FREQUENT = 64
+# Bits of the filter of frequent shingles, of which at most FILTERS are put together; a shingle that is taken for frequent
+# only comes later in the order.
+BITS = 2**23
+FILTERS = 8
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 SCHEMAS = {
     "hashes": "id bigint, ord bigint, hash_content string",
@@ -28,6 +41,9 @@ SCHEMAS = {
     "signatures": "id bigint, ord bigint, hash array<bigint>, hash_length int",
     "frequent": "shingle bigint",
 }
+# Tables with a folder for each bucket. A folder costs more than most buckets of the narrower ones hold, so these are sorted
+# by bucket, and a reader skips the files and pages of other buckets.
+FOLDERS = {"postings"}
 KEYS = {"hashes": "hash_content", "postings": "shingle", "signatures": "id", "frequent": "shingle"}
 
 
@@ -38,12 +54,19 @@ def bucket(key: str | Column) -> Column:
 def store_batch(store: str, number: int, kept: DataFrame, seen: DataFrame) -> None:
     """Adds the signatures ``kept`` (id, ord, hash, hash_length) and all hashes ``seen`` (id, ord, hash_content)."""
     postings = kept.select(F.explode("hash").alias("shingle"), "id")
-    frequent = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT)
+    frequent = ranking.shingles_on(kept, FREQUENT)
+    spark = kept.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     parts = {"hashes": seen, "postings": postings, "signatures": kept, "frequent": frequent}
     for name, rows in parts.items():
         columns = [part.split()[0] for part in SCHEMAS[name].split(", ")]
-        cut = rows.select(*columns, bucket(KEYS[name]).alias("bucket")).repartition("bucket")
-        cut.write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/{name}/batch={number}")
+        cut = rows.select(*columns, bucket(KEYS[name]).alias("bucket"))
+        if name in FOLDERS:
+            # With a number, so that a small batch's folders are not all made by one task.
+            writer = cut.repartition(min(BUCKETS, tasks), "bucket").write.partitionBy("bucket")
+        else:
+            writer = cut.repartitionByRange("bucket").sortWithinPartitions("bucket").write
+        writer.mode("overwrite").parquet(f"{store}/{name}/batch={number}")
 
 
 def stored(spark: SparkSession, store: str, name: str, number: int, keys: DataFrame | None = None) -> DataFrame:
@@ -58,17 +81,47 @@ def stored(spark: SparkSession, store: str, name: str, number: int, keys: DataFr
     return rows.drop("batch", "bucket")
 
 
+def _mixed(values: np.ndarray) -> np.ndarray:
+    return values.view(np.uint64) * _SPREAD
+
+
+def _bits_of(values: np.ndarray) -> np.ndarray:
+    return (_mixed(values) >> np.uint64(32)) % np.uint64(BITS)
+
+
+def _often(frequent: DataFrame) -> bytes:
+    """A filter of the shingles ``frequent``; its size is fixed."""
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(BITS, bool)
+        for batch in batches:
+            bits[_bits_of(batch.column(0).to_numpy().astype(np.int64))] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
+
+    found = frequent.select("shingle").coalesce(FILTERS).mapInArrow(fill, "bits binary").collect()
+    return reduce(np.bitwise_or, [np.frombuffer(row[0], np.uint8) for row in found], np.zeros(BITS // 8, np.uint8)).tobytes()
+
+
 def probes(texts: DataFrame, frequent: DataFrame, threshold: float) -> DataFrame:
     """(id, shingle): the shingles of which a stored text that counts holds one."""
-    single = texts.select("id", "hash_length", F.explode("hash").alias("shingle"))
-    known = frequent.select("shingle").distinct().withColumn("_often", F.lit(True))
-    rated = single.join(known, "shingle", "left")
-    order = F.struct(F.coalesce("_often", F.lit(False)).alias("often"), F.xxhash64("shingle").alias("hash"), "shingle")
-    sorted_ = rated.groupBy("id", "hash_length").agg(F.array_sort(F.collect_list(order)).alias("ordered"))
     slack = 1e-9
-    needed = F.ceil(F.col("hash_length") * threshold - F.col("hash_length") * slack - slack)
-    first = F.slice("ordered", F.lit(1), F.greatest(F.lit(1), F.col("hash_length") - needed + 1).cast("int"))
-    return sorted_.select("id", F.explode(first).alias("p")).select("id", "p.shingle")
+    often = texts.sparkSession.sparkContext.broadcast(_often(frequent))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(np.frombuffer(often.value, np.uint8)).view(bool)
+        for batch in batches:
+            chosen = []
+            for own, n in zip(batch.column("hash"), batch.column("hash_length").to_pylist()):
+                values = own.values.to_numpy().astype(np.int64)
+                count = max(1, n - int(np.ceil(n * threshold - n * slack - slack)) + 1)
+                order = np.lexsort((_mixed(values), bits[_bits_of(values)]))
+                chosen.append(values[order[:count]])
+            lists = shingles.lists(chosen)
+            ids = batch.column("id").take(pc.list_parent_indices(lists))
+            yield pa.RecordBatch.from_arrays([ids, lists.flatten()], ["id", "shingle"])
+
+    narrow = texts.select("id", "hash", "hash_length")
+    return narrow.mapInArrow(first, f"{shingles.columns_of(narrow, ['id'])}, shingle long")
 
 
 def counting(spark: SparkSession, store: str, number: int, texts: DataFrame, threshold: float) -> DataFrame:
@@ -77,6 +130,8 @@ def counting(spark: SparkSession, store: str, number: int, texts: DataFrame, thr
         return stored(spark, store, "signatures", number)
     own = texts.where("hash_length > 0")
     frequent = stored(spark, store, "frequent", number, own.select(F.explode("hash").alias("shingle")))
-    asked = probes(own, frequent, threshold).select("shingle").distinct()
+    # Written, as the buckets to read are found from them before they are looked up.
+    asked = cut_lineage(probes(own, frequent, threshold).select("shingle").distinct(), "asked")
     met = stored(spark, store, "postings", number, asked).join(asked, "shingle", "left_semi").select("id").distinct()
+    met = cut_lineage(met, "met")
     return stored(spark, store, "signatures", number, met).join(met, "id", "left_semi")
